@@ -5,16 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date layouts of the accounting reports, tried in this order.
-REPORT_DATE_FORMATS = ("M/d/yyyy", "yyyy-M-d", "M/d/yy")
+from orderloom.functions.text import trim_ws
+
+# Date layouts of the accounting reports, each with its ISO order.
+REPORT_DATE_LAYOUTS = {
+    r"\A(\d{1,2})/(\d{1,2})/(\d{4})\z": "$3-$1-$2",
+    r"\A(\d{1,2})/(\d{1,2})/(\d{2})\z": "20$3-$1-$2",
+}
+_ISO_DATE = r"\A(\d{4}-\d{1,2}-\d{1,2})\z"
 
 ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def report_date(c: Column) -> Column:
-    """Date in any of the report layouts, null when none fits. Two-digit years are 20xx."""
-    text = F.trim(c)
-    return F.coalesce(*[F.try_to_date(text, f) for f in REPORT_DATE_FORMATS])
+    """Date in any of the report layouts, null when none fits. Two-digit years are 20xx.
+
+    Layouts are rewritten to ISO and cast: a pattern parser would throw, and catch, an
+    exception for every text that does not fit.
+    """
+    iso = trim_ws(c)
+    for layout, order in REPORT_DATE_LAYOUTS.items():
+        iso = F.regexp_replace(iso, layout, order)
+    return F.regexp_extract(iso, _ISO_DATE, 1).try_cast("date")
 
 
 def instant(c: Column) -> Column:

@@ -6,10 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.functions.text import trim_ws
+
 # 18 digits fit a long, so sums and products stay in Spark's compact decimal form.
 MONEY = T.DecimalType(18, 4)
 
-_NUMBER = r"\A[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+# Letters the JVM takes as part of a number (1d, NaN, Infinity, 0x1p3); only e is one here.
+_JVM_LETTERS = "dDfFiInNpPxXyY"
 
 
 def money(c: Column) -> Column:
@@ -27,8 +30,9 @@ def count_or_zero(c: Column) -> Column:
 
 def tolerant_double(c: Column) -> Column:
     """Number with optional thousands commas; blank or malformed text is null."""
-    plain = F.trim(F.replace(c, F.lit(","), F.lit("")))
-    return F.when(plain.rlike(_NUMBER), plain.try_cast("double"))
+    # translate() maps the letters to a sign no number holds and deletes the commas
+    plain = F.translate(c, _JVM_LETTERS + ",", "#" * len(_JVM_LETTERS))
+    return trim_ws(plain).try_cast("double")
 
 
 def to_double(c: Column, places: int = 2) -> Column:

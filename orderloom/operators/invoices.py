@@ -35,6 +35,9 @@ POSITION = ("file", "block", "seq")
 def header_positions(grid: DataFrame) -> DataFrame:
     """One row per file: where its first header row is and which column each heading has."""
     marked = grid
+    for mark in HEADER_MARKS:
+        # plain text search first: hardly any line gets as far as being cut into cells
+        marked = marked.where(F.col("line").contains(mark))
     for mark in HEADER_MARKS:
         marked = marked.where(F.array_contains("cells", mark))
     header = F.min_by(F.struct("block", "seq", "cells"), F.struct("block", "seq"))
@@ -56,7 +59,7 @@ def header_positions(grid: DataFrame) -> DataFrame:
 def report_lines(grid: DataFrame, product_position: int = PRODUCT_POSITION) -> DataFrame:
     """Transaction rows of the reports, each with the product of the group it stands in."""
     filled = grid.where(F.exists("cells", lambda c: trim_ws(c) != ""))
-    body = filled.join(header_positions(filled), "file").where(
+    body = filled.join(header_positions(grid), "file").where(
         F.struct("block", "seq") > F.col("header_at")
     )
 

@@ -26,7 +26,7 @@ from orderloom.schemas import (
     conform,
     earlier_of,
 )
-from orderloom.session import scratch_folder, use_utc
+from orderloom.session import scratch_folder, prepare
 from orderloom.sinks.merge import merge_state, staged_rows
 from orderloom.sinks.warehouse import Warehouse
 from orderloom.sources import bulk, control
@@ -47,7 +47,7 @@ def query(function: Query) -> Query:
     """Register under the function's name; instants leave as zone-free UTC timestamps."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        df = function(use_utc(spark), folder)
+        df = function(prepare(spark), folder)
         zoned = [f.name for f in df.schema if f.dataType == T.TimestampType()]
         return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 

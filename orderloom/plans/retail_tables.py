@@ -299,29 +299,54 @@ def raw_inventory(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _sales(spark: SparkSession, folder: str) -> DataFrame:
-    part = table(spark, folder, "part").select(
-        F.col("p_partkey").alias("l_partkey"), "p_name", "p_size", "p_retailprice"
-    )
-    supplier = table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), "s_name"
+def _date_text() -> Column:
+    """The three layouts the reports use, two-digit years only where they mean 20xx."""
+    iso, number = _text(F.col("l_shipdate").cast("date")), F.col("l_linenumber")
+    return (
+        F.when(number % 3 == 1, iso)
+        .when(
+            (number % 3 == 2) & (F.year("l_shipdate") >= 2000),
+            F.regexp_replace(iso, r"20(\d\d)-0?(\d+)-0?(\d+)", "$2/$3/$1"),
+        )
+        .otherwise(F.regexp_replace(iso, r"(\d+)-(\d+)-(\d+)", "$2/$3/$1"))
     )
+
+
+def _grouped(c: Column) -> Column:
+    """Amount with a thousands comma."""
+    return F.regexp_replace(_text(_dec(c)), r"(\d)(\d{3}\.\d\d)$", "$1,$2")
+
+
+def _sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Sold lines with their texts as a report shows them, in table order.
+
+    Texts are made below the joins, so filters on them run in the scan stage.
+    """
     lines = table(spark, folder, "lineitem").select(
-        "*",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("_metadata.row_index").alias("seq"),
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        "l_quantity",
+        "l_returnflag",
+        F.year("l_shipdate").alias("year"),
+        _date_text().alias("date_text"),
+        _text(F.col("l_quantity") * 100).alias("quantity_text"),
+        _grouped(F.col("l_extendedprice")).alias("amount_text"),
     )
-    return lines.join(part, "l_partkey").join(supplier, "l_suppkey")
-
-
-def _date_text() -> Column:
-    day, number = F.col("l_shipdate"), F.col("l_linenumber")
-    return (
-        F.when(number % 3 == 1, F.date_format(day, "yyyy-MM-dd"))
-        .when((number % 3 == 2) & (F.year(day) >= 2000), F.date_format(day, "M/d/yy"))
-        .otherwise(F.date_format(day, "MM/dd/yyyy"))
+    part = table(spark, folder, "part").select(
+        F.col("p_partkey").alias("l_partkey"),
+        "p_name",
+        "p_size",
+        _grouped(F.col("p_retailprice")).alias("price_text"),
+    )
+    supplier = table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), "s_name"
     )
+    return lines.join(part, "l_partkey").join(supplier, "l_suppkey")
 
 
 def b2b_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -339,7 +364,7 @@ def b2b_records(spark: SparkSession, folder: str) -> DataFrame:
         ),
         F.when((flag == "A") & (quantity == 1), "")
         .when((flag == "A") & (quantity == 2), "n/a")
-        .otherwise(_date_text())
+        .otherwise(F.col("date_text"))
         .alias("date_text"),
         F.when(F.col("p_size") % 9 == 0, "").otherwise(F.col("p_name")).alias(
             "product_description"
@@ -347,13 +372,13 @@ def b2b_records(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("p_size") % 2 == 0, "").otherwise(F.concat(F.lit("memo "), "p_name")).alias(
             "memo"
         ),
-        F.format_number(quantity * 100, 1).alias("quantity_text"),
+        "quantity_text",
         F.when(F.col("p_size") % 2 == 1, "lb").otherwise("").alias("unit_of_measure"),
-        F.format_number("p_retailprice", 2).alias("price_text"),
+        "price_text",
         F.when(F.col("l_linenumber") == 7, "pending")
-        .otherwise(F.format_number("l_extendedprice", 2))
+        .otherwise(F.col("amount_text"))
         .alias("amount_text"),
-        F.concat(F.lit("sales_"), F.year("l_shipdate"), F.lit(".csv")).alias("source_file"),
+        F.concat(F.lit("sales_"), "year", F.lit(".csv")).alias("source_file"),
     )
     return texts.select(
         "file",
@@ -400,7 +425,7 @@ def report_text(spark: SparkSession, folder: str) -> DataFrame:
         F.concat_ws(
             "_",
             F.lit("sales"),
-            _text(F.year("l_shipdate")),
+            _text(F.col("year")),
             _text(F.floor(F.col("l_partkey") / 100)),
         ),
     )
@@ -418,14 +443,14 @@ def report_text(spark: SparkSession, folder: str) -> DataFrame:
         F.col("seq"),
         _csv(
             type=kind,
-            date=_date_text(),
+            date=F.col("date_text"),
             num=_text(F.col("l_orderkey")),
             memo=F.concat(F.lit('said "'), "p_name", F.lit('", twice')),
             name=F.col("s_name"),
-            qty=F.format_number(F.col("l_quantity") * 100, 1),
+            qty=F.col("quantity_text"),
             uom="lb",
-            price=F.format_number("p_retailprice", 2),
-            amount=F.format_number("l_extendedprice", 2),
+            price=F.col("price_text"),
+            amount=F.col("amount_text"),
         ).alias("value"),
     )
     groups = sales.select("file", "l_partkey", "p_name").distinct()

@@ -8,11 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 SETTINGS = {
+    # all instants are UTC
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # the JVM never compiles methods above 8000 bytes; past that, split code runs faster
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -28,9 +31,10 @@ def build_session(app: str = "orderloom", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """All instants are UTC; set it on sessions that were built elsewhere."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session built elsewhere; all of them can change at run time."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
     return spark
 
 

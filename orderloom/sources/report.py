@@ -33,13 +33,13 @@ def _unquoted(cell: Column) -> Column:
 
 
 def parse_grid(lines: DataFrame, column: str) -> DataFrame:
-    """Replaces a column of CSV lines by `cells`, an array as wide as the line.
+    """Adds `cells`, an array as wide as the line; the line itself stays as `line`.
 
     A line that ends inside a quoted cell fails the job instead of shifting cells.
     """
     line = F.concat(F.lit(","), F.regexp_replace(F.col(column), f"\\A{_BOM}", ""))
     cells = F.transform(F.regexp_extract_all(line, F.lit(_CELL), F.lit(1)), _unquoted)
-    return lines.withColumn("cells", cells).drop(column)
+    return lines.withColumn("cells", cells).withColumnRenamed(column, "line")
 
 
 def _position() -> list[Column]:
@@ -78,7 +78,8 @@ def read_report(
     )
     first = F.regexp_replace(F.coalesce(names[0], F.lit("")), f"\\A{_BOM}", "")
     others = [F.coalesce(n, F.lit("")) for n in names[1:]]
-    return rows.withColumn("cells", F.array(first, *others)).drop(*names)
+    cells = F.array(first, *others)
+    return rows.withColumns({"cells": cells, "line": F.concat_ws(",", cells)}).drop(*names)
 
 
 def read_reports(
