@@ -57,9 +57,15 @@ def header_positions(grid: DataFrame) -> DataFrame:
 
 
 def report_lines(grid: DataFrame, product_position: int = PRODUCT_POSITION) -> DataFrame:
-    """Transaction rows of the reports, each with the product of the group it stands in."""
-    filled = grid.where(F.exists("cells", lambda c: trim_ws(c) != ""))
-    body = filled.join(header_positions(grid), "file").where(
+    """Transaction rows of the reports, each with the product of the group it stands in.
+
+    The header of a file is handed to its chunks first, one row each. So rows are shuffled
+    once, by chunk, and that partitioning serves the fill-forward as well.
+    """
+    # on the line rather than the cells, which would be cut twice
+    filled = grid.where(F.translate("line", ", \t\r", "") != "")
+    headed = grid.select("file", "block").distinct().join(header_positions(grid), "file")
+    body = filled.join(headed, ["file", "block"]).where(
         F.struct("block", "seq") > F.col("header_at")
     )
 

@@ -63,10 +63,10 @@ def merge_state(
 
     def value(c: str) -> Column:
         stored = F.col(f"_old.{c}")
-        if c in rules:
-            return F.when(F.col("_matched"), rules[c](stored, F.col(c))).otherwise(F.col(c))
         if c not in staged.columns:
             return stored
+        if c in rules:
+            return F.when(F.col("_matched"), rules[c](stored, F.col(c))).otherwise(F.col(c))
         return F.when(stale, stored).otherwise(F.col(c))
 
     merged = pairs.select(

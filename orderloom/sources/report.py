@@ -43,9 +43,11 @@ def parse_grid(lines: DataFrame, column: str) -> DataFrame:
 
 
 def _position() -> list[Column]:
+    # the name comes as in a URI; a plus sign in it is meant literally
+    name = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
     return [
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_name").alias("source_file"),
+        F.url_decode(name).alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     ]
