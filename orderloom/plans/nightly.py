@@ -86,9 +86,8 @@ def run(
         updated_since(read_pages(spark, landing.customers, "customers"), since),
     )
     mapping = read_sku_map(spark, landing.sku_map) if landing.sku_map else empty_sku_map(spark)
-    products = dim_products(
-        read_pages(spark, landing.products, "products"), mapping, settings.store
-    )
+    raw_products = _raw(warehouse, "products", read_pages(spark, landing.products, "products"))
+    products = dim_products(raw_products, mapping, settings.store)
 
     # addresses of the customers loaded so far and of this batch complete the orders
     customers_now = dim_customers(raw_customers, store=settings.store)
@@ -128,4 +127,10 @@ def run(
     count = next(row["n"] for row in quality if row["check"] == "total_orders")
     watermark = started.strftime("%Y-%m-%dT%H:%M:%SZ")
     warehouse.upsert("pipeline_control", control.control_row(spark, watermark, count))
+    for name, raw in (
+        ("orders", raw_orders),
+        ("customers", raw_customers),
+        ("products", raw_products),
+    ):
+        _raw(warehouse, name, spark.createDataFrame([], raw.schema))
     return NightlyReport(since, watermark, count, quality)
