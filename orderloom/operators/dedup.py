@@ -25,5 +25,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: str | None) -> D
     return one_per_key(df, keys, order)
 
 
+def fresh_key(key: Column) -> Column:
+    """The same text under a partitioning of its own, for a join after one_per_key().
+
+    Spark splits hot keys of a join only if both inputs come straight from a shuffle. A
+    deduplicated input that is still partitioned by the key is not shuffled again and would
+    leave the hot keys of the other side in one task.
+    """
+    return F.concat(key, F.lit(""))
+
+
 def _sortable(df: DataFrame, column: str) -> bool:
     return "map<" not in df.schema[column].dataType.simpleString()

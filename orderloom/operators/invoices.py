@@ -180,9 +180,7 @@ def invoices(records: DataFrame, store: str = STORE) -> DataFrame:
     rows = accepted(records).select(
         *_invoice_columns(), "line_amount", "quantity", "source_file", *POSITION
     )
-    first = F.min_by(
-        F.struct("date", "month", "customer_name", "source_file"), F.struct(*POSITION)
-    )
+    first = F.min_by(F.struct("date", "customer_name", "source_file"), F.struct(*POSITION))
     rolled = rows.groupBy("invoice_id").agg(
         first.alias("first"),
         F.sum(money_or_zero(F.col("line_amount"))).alias("amount"),
@@ -192,7 +190,7 @@ def invoices(records: DataFrame, store: str = STORE) -> DataFrame:
     return rolled.select(
         "invoice_id",
         F.col("first.date").alias("date"),
-        F.col("first.month").alias("month"),
+        month_of(F.col("first.date")).alias("month"),
         F.col("first.customer_name").alias("customer_name"),
         to_double(F.col("amount")).alias("total_amount"),
         to_double(F.col("units")).alias("total_quantity"),

@@ -15,7 +15,7 @@ from orderloom.functions.text import (
     is_variable_weight,
     normal_email,
 )
-from orderloom.operators.dedup import latest_per_key
+from orderloom.operators.dedup import fresh_key, latest_per_key
 
 STORE = "main_store"
 ONLINE = "online"
@@ -142,13 +142,13 @@ def lines_of_bulk(
     """Line rows of a bulk export: children of kept parents; orphans find no partner.
 
     The nested order is never rebuilt, the line table needs nothing but the parent id. One
-    order may hold very many lines: parents are unique, so a skewed child side is split.
+    order may hold very many lines: parents are unique, so Spark can split the child side.
     """
     latest = latest_per_key(
         real_sales(parents, min_total).select(*_parent(PARENT_COLUMNS)),
         ["order_id"],
         "updated_at",
-    )
+    ).withColumn("order_id", fresh_key(F.col("order_id")))
     rows = children.select(F.col("__parentId").alias("order_id"), *_line("", store))
     return rows.join(latest, "order_id").select(
         *PARENT_COLUMNS, *[c for c in rows.columns if c != "order_id"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.dates import instant
 from orderloom.functions.numbers import count_or_zero, money_or_zero
 from orderloom.functions.text import first_filled, trim_ws
+from orderloom.operators.dedup import fresh_key
 from orderloom.operators.orders import STORE
 
 
@@ -20,10 +21,10 @@ def dim_products(raw: DataFrame, sku_map: DataFrame, store: str = STORE) -> Data
     """
     variants = raw.select("*", F.explode("variants.edges").alias("edge")).drop("variants")
     by_title = sku_map.select(
-        F.col("name").alias("_title"), F.col("canonical_sku").alias("_sku_by_title")
+        fresh_key(F.col("name")).alias("_title"), F.col("canonical_sku").alias("_sku_by_title")
     )
     by_sku = sku_map.select(
-        F.col("name").alias("_raw_sku"), F.col("canonical_sku").alias("_sku_by_sku")
+        fresh_key(F.col("name")).alias("_raw_sku"), F.col("canonical_sku").alias("_sku_by_sku")
     )
     looked_up = (
         variants.withColumns(

@@ -36,22 +36,33 @@ def b2b_profile(invoices: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by(df: DataFrame, name: Column, amount: str, first_seen: Column) -> DataFrame:
-    """(name, revenue, first_seen): revenue as exact decimal, first_seen to break ties."""
+def revenue_by(
+    df: DataFrame, name: Column, amount: str, first_seen: str | None = None
+) -> DataFrame:
+    """(name, revenue[, first_seen]): exact decimal revenue; first_seen breaks ties."""
+    seen = [F.min(first_seen).alias("first_seen")] if first_seen else []
     return df.groupBy(name.alias("name")).agg(
-        F.sum(money_or_zero(F.col(amount))).alias("revenue"),
-        F.min(first_seen).alias("first_seen"),
+        F.sum(money_or_zero(F.col(amount))).alias("revenue"), *seen
     )
 
 
+def best_of(ranked: DataFrame) -> Column:
+    """Aggregate over revenue_by() rows: (name, revenue) of the best.
+
+    Ties go to the one seen first where that is known, else by name.
+    """
+    ties = ["first_seen", "name"] if "first_seen" in ranked.columns else ["name"]
+    return F.min_by(F.struct("name", "revenue"), F.struct(-F.col("revenue"), *ties))
+
+
 def top_by_revenue(
     df: DataFrame, name: str, amount: str, n: int = 5, first_seen: str | None = None
 ) -> DataFrame:
-    """The n names with the highest revenue; ties go to the one seen first, else by name."""
-    seen = F.col(first_seen or name)
-    ranked = revenue_by(df, F.col(name), amount, seen)
+    """The n names with the highest revenue; ties as in best_of()."""
+    ranked = revenue_by(df, F.col(name), amount, first_seen)
+    ties = ["first_seen", "name"] if first_seen else ["name"]
     return (
-        ranked.orderBy(F.desc("revenue"), "first_seen", "name")
+        ranked.orderBy(F.desc("revenue"), *ties)
         .limit(n)
         .select(F.col("name").alias(name), to_double(F.col("revenue")).alias("revenue"))
     )
@@ -59,8 +70,7 @@ def top_by_revenue(
 
 def top_one(ranked: DataFrame) -> DataFrame:
     """One row (top_name, top_revenue) of revenue_by(); N/A and 0 when there is none."""
-    rank = F.struct(-F.col("revenue"), F.col("first_seen"), F.col("name"))
-    best = ranked.agg(F.min_by(F.struct("name", "revenue"), rank).alias("best"))
+    best = ranked.agg(best_of(ranked).alias("best"))
     return best.select(
         F.when(F.col("best").isNull(), F.lit("N/A"))
         .otherwise(F.col("best.name"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.numbers import MONEY, money_or_zero, ratio, to_double
 from orderloom.functions.text import first_filled
 from orderloom.operators.orders import STORE, identity
-from orderloom.operators.profiles import revenue_by, top_one
+from orderloom.operators.profiles import best_of, revenue_by, top_one
 from orderloom.schemas import PIPELINE_SUMMARY, conform
 
 # The sentences of the summary; {x} takes a figure of that name.
@@ -43,15 +43,23 @@ def _sum(column: str) -> Column:
     return F.coalesce(F.sum(column), F.lit(0))
 
 
-def customer_frequency(orders: DataFrame, who: str = "customer_email") -> DataFrame:
-    """One row: customers with exactly one order, with several, and all of them.
+def customer_frequency(
+    orders: DataFrame, who: str = "customer_email", period: Column | None = None
+) -> DataFrame:
+    """Customers with exactly one order, with several, and all of them.
 
-    `who` names the column that identifies a customer; orders without one do not count.
+    `who` names the column that identifies a customer; orders without one do not count. One
+    row over all orders, or one per `period`.
     """
+    by = [] if period is None else ["period"]
+    named = orders.withColumns(
+        {"who": identity(who), **({} if period is None else {"period": period})}
+    )
     return (
-        orders.groupBy(identity(who).alias("who"))
+        named.where(F.col("who").isNotNull())
+        .groupBy(*by, "who")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("who").isNotNull())
+        .groupBy(*by)
         .agg(*_frequency("n"))
     )
 
@@ -91,20 +99,14 @@ def _online_orders(orders: DataFrame, who: str) -> DataFrame:
 
 
 def _ranked_totals(
-    df: DataFrame, name: Column, first_seen: Column, amount: str, quantity: str
+    df: DataFrame, name: Column, first_seen: str | None, amount: str, quantity: str
 ) -> DataFrame:
+    seen = [F.min(first_seen).alias("first_seen")] if first_seen else []
     return df.groupBy(name.alias("name")).agg(
         F.sum(money_or_zero(F.col(amount))).alias("revenue"),
         F.sum(money_or_zero(F.col(quantity))).alias("quantity"),
         F.count(F.lit(1)).alias("n"),
-        F.min(first_seen).alias("first_seen"),
-    )
-
-
-def _best() -> Column:
-    """Name and revenue of the best group; ties go to the one seen first."""
-    return F.min_by(
-        F.struct("name", "revenue"), F.struct(-F.col("revenue"), F.col("first_seen"), "name")
+        *seen,
     )
 
 
@@ -114,8 +116,7 @@ def product_name() -> Column:
 
 def top_product(lines: DataFrame, first_seen: str | None = None) -> DataFrame:
     """One row: best product by line revenue; lines without a title count as Unknown."""
-    seen = F.col(first_seen) if first_seen else product_name()
-    return top_one(revenue_by(lines, product_name(), "line_revenue", seen))
+    return top_one(revenue_by(lines, product_name(), "line_revenue", first_seen))
 
 
 def channel_summary(
@@ -132,27 +133,20 @@ def channel_summary(
     `line_seen` and `invoice_seen` order products and customers of equal revenue.
     """
     online = _online_orders(orders, who)
-    products = _ranked_totals(
-        lines,
-        product_name(),
-        F.col(line_seen) if line_seen else product_name(),
-        "line_revenue",
-        "quantity",
-    ).agg(
-        _sum("quantity").cast("bigint").alias("online_units"), _best().alias("best_product")
+    per_product = _ranked_totals(lines, product_name(), line_seen, "line_revenue", "quantity")
+    products = per_product.agg(
+        _sum("quantity").cast("bigint").alias("online_units"),
+        best_of(per_product).alias("best_product"),
+    )
+    per_account = _ranked_totals(
+        invoices, F.col("customer_name"), invoice_seen, "total_amount", "total_quantity"
     )
-    accounts = _ranked_totals(
-        invoices,
-        F.col("customer_name"),
-        F.col(invoice_seen or "customer_name"),
-        "total_amount",
-        "total_quantity",
-    ).agg(
+    accounts = per_account.agg(
         _sum("n").cast("bigint").alias("b2b_invoices"),
         _sum("revenue").alias("b2b_sum"),
         _sum("quantity").alias("b2b_quantity"),
         F.count(F.lit(1)).alias("b2b_customers"),
-        _best().alias("best_account"),
+        best_of(per_account).alias("best_account"),
     )
     parts = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True), [online, products, accounts]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.functions.dates import month_of
 from orderloom.operators import customers as cust
 from orderloom.operators import invoices as inv
 from orderloom.operators import orders as ord_
@@ -181,9 +182,15 @@ def customer_first_orders(spark, folder):
 
 @query
 def customer_frequency(spark, folder):
-    """Orders of one year, as in the full history nearly everyone returns."""
-    year = _orders(spark, folder).where(F.year("created_at") == 1997)
-    return summary.customer_frequency(year, "customer_id")
+    return summary.customer_frequency(_orders(spark, folder), "customer_id")
+
+
+@query
+def customer_frequency_by_month(spark, folder):
+    """Within a month some customers are new; over the full history nearly all return."""
+    return summary.customer_frequency(
+        _orders(spark, folder), "customer_id", month_of(F.col("created_at"))
+    )
 
 
 # ---- products, stores, inventory ----
@@ -306,7 +313,7 @@ def top_product(spark, folder):
 @query
 def product_revenue(spark, folder):
     return profiles.revenue_by(
-        _lines(spark, folder), summary.product_name(), "line_revenue", summary.product_name()
+        _lines(spark, folder), summary.product_name(), "line_revenue"
     ).select(
         F.col("name").alias("product_title"), F.round("revenue", 2).cast("double").alias("revenue")
     )

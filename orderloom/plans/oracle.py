@@ -357,7 +357,14 @@ ORACLE_SQL = {
         """SELECT count(*) FILTER (n = 1) AS new_customers,
           count(*) FILTER (n > 1) AS returning_customers, count(*) AS unique_online_customers
         FROM (SELECT customer_id, count(*) AS n FROM fo
-          WHERE customer_id IS NOT NULL AND year(created_at) = 1997 GROUP BY 1)""",
+          WHERE customer_id IS NOT NULL GROUP BY 1)""",
+    ),
+    "customer_frequency_by_month": using(
+        "fo",
+        """SELECT period, count(*) FILTER (n = 1) AS new_customers,
+          count(*) FILTER (n > 1) AS returning_customers, count(*) AS unique_online_customers
+        FROM (SELECT strftime(created_at, '%Y-%m') AS period, customer_id, count(*) AS n
+          FROM fo WHERE customer_id IS NOT NULL GROUP BY 1, 2) GROUP BY period""",
     ),
     "sku_map": """
         SELECT p_name || ' ' || p_partkey AS name,
