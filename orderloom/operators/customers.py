@@ -32,16 +32,15 @@ def dim_customers(
 ) -> DataFrame:
     """One row per customer with an address.
 
-    The first row in `order_by` order wins per id, then the first per normalized address.
-    Without orders first_order_date is null.
+    The first row in `order_by` order (raw columns) wins per id, then the first per normalized
+    address. Without orders first_order_date is null.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    ranked = raw.withColumn("_order", F.struct(*order))
-    per_id = one_per_key(ranked, ["id"], [F.col("_order")])
+    per_id = one_per_key(raw, ["id"], order)
     addressed = per_id.withColumn("email", normal_email(F.col("email"))).where(
         F.col("email").isNotNull()
     )
-    unique = one_per_key(addressed, ["email"], [F.col("_order")])
+    unique = one_per_key(addressed, ["email"], order)
     rows = unique.select(
         F.col("id").alias("customer_id"),
         "email",

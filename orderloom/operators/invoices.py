@@ -78,10 +78,10 @@ def report_lines(grid: DataFrame, product_position: int = PRODUCT_POSITION) -> D
         cell(F.lit(product_position)).alias("group_cell"),
         *[cell(F.col(f"at.{k}")).alias(k) for k in HEADINGS],
     )
-    kind, group = F.lower("type"), F.lower("group_cell")
-    is_group = (kind == "") & (group != "") & ~group.startswith("total")
-    is_total = kind.startswith("total") | kind.contains("grand total")
-    is_transaction = ~is_total & F.col("type").isin(*TRANSACTION_TYPES)
+    # Subtotals and grand totals are neither: their type is no transaction, their group cell
+    # starts with "total". Few references to a cell keep the pushed-down filter small.
+    is_transaction = F.col("type").isin(*TRANSACTION_TYPES)
+    is_group = (F.col("type") == "") & F.lower("group_cell").rlike(r"\A(?!total)[\s\S]")
     with_product = fill_forward(
         named.where(is_group | is_transaction),
         F.when(is_group, F.col("group_cell")),

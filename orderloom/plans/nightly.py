@@ -90,13 +90,15 @@ def run(
     products = dim_products(raw_products, mapping, settings.store)
 
     # addresses of the customers loaded so far and of this batch complete the orders
-    customers_now = dim_customers(raw_customers, store=settings.store)
+    # landed pages of several fetches may repeat a customer: the latest version counts
+    newest = [F.col("updatedAt").desc()]
+    customers_now = dim_customers(raw_customers, order_by=newest, store=settings.store)
     warehouse.upsert("dim_customers", customers_now.drop("first_order_date"))
     orders = ord_.fill_email(
         ord_.fact_orders(raw_orders, settings.store, min_total=settings.min_total),
         warehouse.read("dim_customers"),
     )
-    customers = dim_customers(raw_customers, orders, store=settings.store)
+    customers = dim_customers(raw_customers, orders, newest, settings.store)
     lines = ord_.flag_variable_weight(
         ord_.lines_of_nested(raw_orders, settings.store, settings.min_total)
     )

@@ -2,6 +2,7 @@ import json
 
 from builders import customer, order, page, product, variant
 from conftest import rows
+from pyspark.sql import functions as F
 
 from orderloom.operators import customers as c
 from orderloom.operators import inventory as i
@@ -44,6 +45,8 @@ def test_first_row_wins_per_id_and_email(spark):
     for shuffled in (df, df.repartition(3), df.orderBy("phone", ascending=False)):
         found = c.dim_customers(shuffled).collect()
         assert [(r["customer_id"], r["phone"]) for r in found] == [("c1", "1")]
+    latest = c.dim_customers(df, order_by=[F.col("updatedAt").desc()]).collect()
+    assert [(r["customer_id"], r["phone"]) for r in latest] == [("c2", "3")]
 
 
 def test_earliest_order(spark):
