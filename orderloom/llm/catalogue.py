@@ -5,13 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import byte_bpe, token_counts
+from orderloom.llm import byte_bpe, decontaminate, fingerprints, token_counts
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_edits(table(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_tokens(table(spark, folder, "documents"), path)
@@ -23,8 +31,46 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op7_fingerprints": op7_fingerprints,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    # windows of the items' sizes are listed for all documents and joined as texts
+    "op2_decontamination": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size,
+         array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+        FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT rid, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+  FROM (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM d, (SELECT DISTINCT size FROM bw) WHERE len(w) >= size)
+), h AS (
+  SELECT rid, i, dw.size, item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.size = bw.size
+), words AS (
+  SELECT rid, count(DISTINCT p) AS n_hit
+  FROM (SELECT rid, unnest(range(i, i + size)) AS p FROM h) GROUP BY rid
+), items AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM h WHERE item_id IS NOT NULL)
+  GROUP BY rid
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+""",
+}

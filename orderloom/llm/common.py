@@ -30,6 +30,10 @@ ARROW = {
 MASK64 = (1 << 64) - 1
 
 
+def field(name: str, kind: str) -> T.StructField:
+    return T.StructType.fromDDL(f"`{name}` {kind}").fields[0]
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Exactly these columns, by position, so that other columns of like names cannot clash."""
     columns = list(df.columns)
@@ -53,7 +57,7 @@ def map_texts(
     kept = [i for i, c in enumerate(df.columns) if c not in fields and c not in drop]
     schema = T.StructType([df.schema.fields[i] for i in kept])
     for name, kind in fields.items():
-        schema = schema.add(name, kind)
+        schema = schema.add(field(name, kind))
     types = [ARROW[kind] for kind in fields.values()]
     names = [f.name for f in schema.fields]
 
