@@ -5,17 +5,40 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import byte_bpe, decontaminate, fingerprints, token_counts
+from orderloom.llm import (
+    byte_bpe,
+    decontaminate,
+    fingerprints,
+    quality,
+    token_counts,
+    token_output,
+    toxicity,
+    warc,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(table(spark, folder, "pages"))
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_output.stored(table(spark, folder, "documents"), path)
+
+
 def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_edits(table(spark, folder, "documents"))
 
@@ -30,14 +53,38 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), path)
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
+    "op3_toxicity": op3_toxicity,
+    "op6_token_files": op6_token_files,
     "op7_fingerprints": op7_fingerprints,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL = {
+    # base32 of the hexadecimal digest: every five hexadecimal digits make four letters
+    "op1_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INT), 5) AS BIGINT)
+           >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT) + 1, 1) FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p
+""",
     # windows of the items' sizes are listed for all documents and joined as texts
     "op2_decontamination": r"""
 WITH d AS (

@@ -95,26 +95,40 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, text, y) of the labelled rows that may be learned from.
+def learnable(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, y) of the ids whose labels may be learned.
 
-    A doc_id with several labels counts as 1 where any is 1. Null ids and labels drop out.
+    An id with several labels counts as 1 where any is 1. Null ids and labels drop out.
     """
-    known = (
+    return (
         pick(labels, "doc_id", label)
         .where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
         .where(~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max(F.col(label).cast("int")).alias("y"))
     )
-    return pick(docs, "doc_id", "text").join(known, "doc_id")
 
 
-def bounded_sample(rows: DataFrame, per_class: int, *order: str) -> DataFrame:
-    """At most `per_class` rows of y = 0 and of y = 1, first in the order of a hash of the id."""
-    rows = rows.withColumn("_o", F.xxhash64(*order))
-    parts = [rows.where(F.col("y") == y).orderBy("_o", *order).limit(per_class) for y in (0, 1)]
-    return parts[0].unionByName(parts[1]).drop("_o")
+def sample_ids(known: DataFrame, per_class: int) -> DataFrame:
+    """At most `per_class` ids of y = 0 and of y = 1, first by a hash: small enough to broadcast."""
+    order = F.xxhash64("doc_id")
+    parts = [known.where(F.col("y") == y).orderBy(order, "doc_id").limit(per_class) for y in (0, 1)]
+    return parts[0].unionByName(parts[1])
+
+
+def in_ranges(rows: DataFrame, by: str, n: int) -> DataFrame:
+    """rows with `part`, the number below n of the range of the numeric column `by`; nulls in 0.
+
+    The ranges hold about as many rows each; rows of equal values stay together. Only the n - 1
+    bounds pass through the driver.
+    """
+    shares = [k / n for k in range(1, n)] or [0.5]
+    bounds = rows.agg(F.percentile_approx(by, shares, 10_000)).first()[0] or []
+    number = F.lit(0)
+    if n > 1 and bounds:
+        at = F.array(*map(F.lit, sorted(set(bounds))))
+        number = F.when(F.col(by).isNull(), 0).otherwise(F.size(F.filter(at, lambda b: b <= F.col(by))))
+    return rows.withColumn("part", number.cast("int"))
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

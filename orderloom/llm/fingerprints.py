@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import WordHashes, map_texts, mix64, pick
+from orderloom.llm.common import WordHashes, in_ranges, map_texts, mix64, pick
 
 SAMPLES = 128
 TERMS = 1 << 16
@@ -101,15 +101,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = pick(docs, "doc_id", "text")
     rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
-    shares = [k / n for k in range(1, n)]
-    bounds = rows.agg(F.percentile_approx("doc_id", shares or [0.5], 100_000)).first()[0] or []
-    bounds = sorted(set(bounds))
-    number = F.lit(0)
-    if bounds:
-        at = F.array(*map(F.lit, bounds))
-        number = F.coalesce(F.size(F.filter(at, lambda b: b <= F.col("doc_id"))), F.lit(0))
-        number = F.when(F.col("doc_id").isNull(), 0).otherwise(number)
-    parted = rows.withColumn("part", number.cast("int"))
+    parted = in_ranges(rows, "doc_id", n)
     # nulls sort first but min() passes over them
     least = parted.groupBy("part").agg(
         F.min("doc_id").alias("least"), F.max(F.col("doc_id").isNull()).alias("no_id")
