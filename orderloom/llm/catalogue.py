@@ -9,6 +9,7 @@ from orderloom.llm import (
     byte_bpe,
     decontaminate,
     fingerprints,
+    near_dedup,
     quality,
     token_counts,
     token_output,
@@ -34,6 +35,10 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_output.stored(table(spark, folder, "documents"), path)
@@ -62,6 +67,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
+    "op5_near_dedup": op5_near_dedup,
     "op6_token_files": op6_token_files,
     "op7_fingerprints": op7_fingerprints,
     "op8_token_counts": op8_token_counts,
