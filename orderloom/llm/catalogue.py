@@ -9,6 +9,7 @@ from orderloom.llm import (
     byte_bpe,
     decontaminate,
     fingerprints,
+    line_dedup,
     near_dedup,
     quality,
     token_counts,
@@ -35,6 +36,10 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_matches(table(spark, folder, "documents"))
+
+
 def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
+    "op4_line_dedup": op4_line_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op6_token_files": op6_token_files,
     "op7_fingerprints": op7_fingerprints,
