@@ -131,6 +131,29 @@ def in_ranges(rows: DataFrame, by: str, n: int) -> DataFrame:
     return rows.withColumn("part", number.cast("int"))
 
 
+def flagged(keys: DataFrame, *columns: str, least: int = 1 << 10, most: int = 1 << 20) -> Column:
+    """Whether a row's columns may equal those of a row of `keys`: true for all that do, and for
+    few others as long as there are fewer than 8 million keys.
+
+    A table of bits by hash, about 8 for each key and 8 MB at most, is worked out first; it tells
+    most rows that a join would drop before they are shuffled. The join itself must follow.
+    """
+    spark = keys.sparkSession
+    words = least
+    n = keys.count()
+    while words < most and words * 8 < n:
+        words *= 2
+    place = F.pmod(F.xxhash64(*columns), F.lit(words * 64))
+    word, bit = F.shiftright(place, 6).cast("int"), place.bitwiseAND(F.lit(63)).cast("int")
+    one = F.lit(1).cast("bigint")
+    bits = keys.groupBy(word.alias("w")).agg(F.bit_or(F.call_function("shiftleft", one, bit)).alias("bits"))
+    every = spark.range(words).select(F.col("id").cast("int").alias("w"), F.lit(0).cast("bigint").alias("bits"))
+    bits = every.unionByName(bits).groupBy("w").agg(F.bit_or("bits").alias("bits"))
+    table = bits.agg(F.sort_array(F.collect_list(F.struct("w", "bits"))).alias("all"))
+    table = table.select(F.col("all.bits").alias("flags")).scalar()
+    return F.call_function("shiftright", F.get(table, word), bit).bitwiseAND(one) == 1
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """df written to the shared folder and read again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
