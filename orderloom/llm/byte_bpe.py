@@ -135,6 +135,31 @@ def decode(coded: DataFrame, path: str, column: str = "token_ids") -> DataFrame:
     return map_texts(coded, {"decoded": "binary"}, start, column, drop=(column,))
 
 
+def encode_checked(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, token_ids and decoded_sha256 of each text; ids that do not decode to
+    the text raise."""
+
+    def start():
+        bpe = coder(path)
+
+        def work(texts: list) -> list:
+            n, ids, back = [], [], []
+            for t in texts:
+                coded = bpe.encode(t)
+                decoded = bpe.decode(coded)
+                if decoded != (t or "").encode("utf-8"):
+                    raise ValueError("a text is not what its ids decode to")
+                n.append(len(coded) // 4)
+                ids.append(coded)
+                back.append(hashlib.sha256(decoded).hexdigest())
+            return [n, ids, back]
+
+        return work
+
+    fields = {"n_tokens": "bigint", "token_ids": "binary", "decoded_sha256": "string"}
+    return map_texts(pick(docs, "doc_id", "text"), fields, start, drop=("text",))
+
+
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each text, encoded and decoded in one pass."""
 
