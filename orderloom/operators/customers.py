@@ -24,23 +24,38 @@ def first_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def _order(order_by: Sequence[str | Column] | None) -> list[Column]:
+    if order_by is None:
+        return [instant(F.col("updatedAt"))]
+    return [F.col(c) if isinstance(c, str) else c for c in order_by]
+
+
+def _addressed(raw: DataFrame, order: list[Column]) -> DataFrame:
+    per_id = one_per_key(raw, ["id"], order)
+    return per_id.withColumn("email", normal_email(F.col("email"))).where(
+        F.col("email").isNotNull()
+    )
+
+
+def addresses(raw: DataFrame, order_by: Sequence[str | Column] | None = None) -> DataFrame:
+    """(customer_id, email) of every customer with an address, shared addresses included."""
+    rows = _addressed(raw, _order(order_by))
+    return rows.select(F.col("id").alias("customer_id"), "email")
+
+
 def dim_customers(
     raw: DataFrame,
     orders: DataFrame | None = None,
-    order_by: Sequence[str | Column] = ("updatedAt",),
+    order_by: Sequence[str | Column] | None = None,
     store: str = STORE,
 ) -> DataFrame:
     """One row per customer with an address.
 
-    The first row in `order_by` order (raw columns) wins per id, then the first per normalized
-    address. Without orders first_order_date is null.
+    The first row in `order_by` order (raw columns, by default the time of update) wins per id,
+    then the first per normalized address. Without orders first_order_date is null.
     """
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    per_id = one_per_key(raw, ["id"], order)
-    addressed = per_id.withColumn("email", normal_email(F.col("email"))).where(
-        F.col("email").isNotNull()
-    )
-    unique = one_per_key(addressed, ["email"], order)
+    order = _order(order_by)
+    unique = one_per_key(_addressed(raw, order), ["email"], order)
     rows = unique.select(
         F.col("id").alias("customer_id"),
         "email",

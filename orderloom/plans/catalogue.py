@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.functions.dates import month_of
+from orderloom.functions.dates import instant, month_of
 from orderloom.operators import customers as cust
 from orderloom.operators import invoices as inv
 from orderloom.operators import orders as ord_
@@ -16,7 +16,7 @@ from orderloom.operators import products as prod
 from orderloom.operators import profiles, quality, summary
 from orderloom.operators.inventory import inventory_levels
 from orderloom.plans import retail_tables as rt
-from orderloom.plans.retail_tables import MIN_TOTAL, table
+from orderloom.plans.retail_tables import table
 from orderloom.schemas import (
     DIM_CUSTOMERS,
     DIM_PRODUCTS,
@@ -40,6 +40,9 @@ from orderloom.streaming.incremental import stream_files, upsert_stream
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# A sales threshold that bites on these tables, for the queries about that filter.
+LARGE_TOTAL = 100000
+STORES = [("shop-1", "First shop", "North", "online", "shop-1.example.org")]
 BUSINESS = "The business"
 RUN_AT = "2024-02-01T00:00:00Z"
 
@@ -60,49 +63,51 @@ def query(function: Query) -> Query:
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
-    return ord_.fact_orders(rt.raw_orders(spark, folder), min_total=MIN_TOTAL)
+    return ord_.fact_orders(rt.raw_orders(spark, folder))
 
 
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
+def _lines(
+    spark: SparkSession, folder: str, min_total: float = ord_.MIN_TOTAL
+) -> DataFrame:
     rows = ord_.lines_of_bulk(
-        rt.raw_orders(spark, folder), rt.raw_lines(spark, folder), min_total=MIN_TOTAL
+        rt.raw_orders(spark, folder), rt.raw_lines(spark, folder), min_total=min_total
     )
     return ord_.flag_variable_weight(rows)
 
 
 @query
 def fact_orders(spark, folder):
-    return conform(_orders(spark, folder), FACT_ORDERS)
+    large = ord_.fact_orders(rt.raw_orders(spark, folder), min_total=LARGE_TOTAL)
+    return conform(large, FACT_ORDERS)
 
 
 @query
 def fact_order_lines(spark, folder):
-    return conform(_lines(spark, folder), FACT_ORDER_LINES)
+    return conform(_lines(spark, folder, LARGE_TOTAL), FACT_ORDER_LINES)
 
 
 @query
 def order_filter_audit(spark, folder):
-    return ord_.filter_audit(rt.raw_orders(spark, folder), MIN_TOTAL)
+    return ord_.filter_audit(rt.raw_orders(spark, folder), LARGE_TOTAL)
 
 
 @query
 def orders_with_email(spark, folder):
     return ord_.fill_email(
-        _orders(spark, folder), cust.dim_customers(rt.raw_customers(spark, folder))
+        _orders(spark, folder), cust.addresses(rt.raw_customers(spark, folder))
     ).select("order_id", "customer_id", "customer_email")
 
 
 @query
 def variable_weight_lines(spark, folder):
-    _, variable = ord_.split_variable_weight(_lines(spark, folder))
+    variable = _lines(spark, folder).where("is_variable_weight")
     return variable.select("line_item_id", "product_title", "quantity", "is_variable_weight")
 
 
 @query
 def variable_weight_shares(spark, folder):
-    standard, variable = ord_.split_variable_weight(_lines(spark, folder))
     return (
-        standard.unionByName(variable)
+        _lines(spark, folder)
         .groupBy("is_variable_weight")
         .agg(
             F.count(F.lit(1)).alias("lines"),
@@ -130,16 +135,14 @@ def page_unnest_orders(spark, folder):
 @query
 def nested_order_lines(spark, folder):
     nodes = parse_pages(rt.order_pages(spark, folder), "value", "orders")
-    lines = ord_.lines_of_nested(nodes, min_total=MIN_TOTAL)
+    lines = ord_.lines_of_nested(nodes)
     return conform(ord_.flag_variable_weight(lines), FACT_ORDER_LINES)
 
 
 @query
 def bulk_reassemble_lines(spark, folder):
     records = bulk.parse_bulk(rt.export_text(spark, folder), "value")
-    lines = ord_.lines_of_bulk(
-        bulk.parents(records), bulk.children(records), min_total=MIN_TOTAL
-    )
+    lines = ord_.lines_of_bulk(bulk.parents(records), bulk.children(records))
     return lines.select("order_id", "line_item_id", "product_title", "sku", "line_revenue")
 
 
@@ -160,9 +163,11 @@ def bulk_reconcile(spark, folder):
 
 
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
-    pages = rt.page_text(rt.raw_customers(spark, folder), "customers")
+    page = F.floor(F.col("id").cast("bigint") / 10)
+    pages = rt.page_text(rt.raw_customers(spark, folder), "customers", page)
     nodes = parse_pages(pages, "value", "customers")
-    return cust.dim_customers(nodes, _orders(spark, folder), order_by=["updatedAt"])
+    newest = [instant(F.col("updatedAt")).desc()]
+    return cust.dim_customers(nodes, _orders(spark, folder), order_by=newest)
 
 
 @query
@@ -197,7 +202,8 @@ def customer_frequency_by_month(spark, folder):
 
 
 def _products(spark: SparkSession, folder: str) -> DataFrame:
-    pages = rt.page_text(rt.raw_products(spark, folder), "products")
+    page = F.floor(F.substring("id", 2, 20).cast("bigint") / 25)
+    pages = rt.page_text(rt.raw_products(spark, folder), "products", page)
     mapping = parse_sku_map(rt.sku_map_pages(spark, folder), "value", "page")
     return prod.dim_products(parse_pages(pages, "value", "products"), mapping)
 
@@ -209,8 +215,7 @@ def sku_map(spark, folder):
 
 @query
 def dim_products(spark, folder):
-    rows = _products(spark, folder)
-    return conform(prod.mapped(rows).unionByName(prod.unmapped(rows)), DIM_PRODUCTS)
+    return conform(_products(spark, folder), DIM_PRODUCTS)
 
 
 @query
@@ -222,12 +227,12 @@ def unmapped_products(spark, folder):
 
 @query
 def dim_stores_upsert(spark, folder):
-    """The constant stores merged into a registry of supplier outlets."""
+    """Stores merged into a registry of supplier outlets, one of which they replace."""
     registry = (
         table(spark, folder, "supplier")
         .join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
-            F.when(F.col("s_suppkey") == 0, "main_online")
+            F.when(F.col("s_suppkey") == 0, "shop-1")
             .otherwise(F.col("s_name"))
             .alias("store_id"),
             F.col("s_name").alias("store_name"),
@@ -236,12 +241,14 @@ def dim_stores_upsert(spark, folder):
             F.lit("TBD").alias("shopify_instance"),
         )
     )
-    return merge_state(registry, staged_rows(dim_stores(spark), ["store_id"]), ["store_id"])
+    stores = staged_rows(dim_stores(spark, STORES), ["store_id"])
+    return merge_state(registry, stores, ["store_id"])
 
 
 @query
 def inventory_by_location(spark, folder):
-    pages = rt.page_text(rt.raw_inventory(spark, folder), "inventoryItems")
+    page = F.floor(F.substring("id", 2, 20).cast("bigint") / 10)
+    pages = rt.page_text(rt.raw_inventory(spark, folder), "inventoryItems", page)
     return inventory_levels(parse_pages(pages, "value", "inventoryItems"))
 
 

@@ -9,8 +9,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.functions.dates import instant
 from orderloom.operators import orders as ord_
-from orderloom.operators.customers import dim_customers
+from orderloom.operators.customers import addresses, dim_customers
+from orderloom.operators.dedup import one_per_key
 from orderloom.operators.products import dim_products
 from orderloom.operators.quality import qa_report
 from orderloom.operators.summary import channel_summary, summary_row
@@ -19,7 +21,7 @@ from orderloom.sinks.warehouse import Warehouse
 from orderloom.sources import control
 from orderloom.sources.pages import read_pages, updated_since
 from orderloom.sources.sku_map import empty_sku_map, read_sku_map
-from orderloom.sources.stores import DEFAULT_STORES, dim_stores
+from orderloom.sources.stores import dim_stores
 
 
 @dataclass(frozen=True)
@@ -40,7 +42,7 @@ class Settings:
     business: str = "The business"
     summary_id: str = "combined"
     min_total: float = ord_.MIN_TOTAL
-    stores: Sequence[tuple] = DEFAULT_STORES
+    stores: Sequence[tuple] = ()
 
 
 @dataclass(frozen=True)
@@ -77,8 +79,14 @@ def run(
         control.read_watermark(warehouse.read("pipeline_control")), started
     )
 
+    # landed pages of several fetches overlap and may repeat an entity: the latest version counts
+    newest = [instant(F.col("updatedAt")).desc()]
     raw_orders = _raw(
-        warehouse, "orders", updated_since(read_pages(spark, landing.orders, "orders"), since)
+        warehouse,
+        "orders",
+        one_per_key(
+            updated_since(read_pages(spark, landing.orders, "orders"), since), ["id"], newest
+        ),
     )
     raw_customers = _raw(
         warehouse,
@@ -89,14 +97,12 @@ def run(
     raw_products = _raw(warehouse, "products", read_pages(spark, landing.products, "products"))
     products = dim_products(raw_products, mapping, settings.store)
 
-    # addresses of the customers loaded so far and of this batch complete the orders
-    # landed pages of several fetches may repeat a customer: the latest version counts
-    newest = [F.col("updatedAt").desc()]
-    customers_now = dim_customers(raw_customers, order_by=newest, store=settings.store)
-    warehouse.upsert("dim_customers", customers_now.drop("first_order_date"))
+    # addresses of this batch, and of the customers loaded before, complete the orders
+    current = addresses(raw_customers, newest)
+    stored = warehouse.read("dim_customers").select("customer_id", "email")
+    known = current.unionByName(stored.join(current, "customer_id", "left_anti"))
     orders = ord_.fill_email(
-        ord_.fact_orders(raw_orders, settings.store, min_total=settings.min_total),
-        warehouse.read("dim_customers"),
+        ord_.fact_orders(raw_orders, settings.store, min_total=settings.min_total), known
     )
     customers = dim_customers(raw_customers, orders, newest, settings.store)
     lines = ord_.flag_variable_weight(
@@ -108,7 +114,8 @@ def run(
     warehouse.upsert("fact_order_lines", lines)
     warehouse.upsert("dim_products", products)
     warehouse.upsert("dim_customers", customers)
-    warehouse.upsert("dim_stores", dim_stores(spark, settings.stores))
+    if settings.stores:
+        warehouse.upsert("dim_stores", dim_stores(spark, settings.stores))
     if landing.reports:
         b2b.load(
             spark, warehouse, landing.reports, landing.report_names, store=settings.store

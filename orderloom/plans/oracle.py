@@ -5,9 +5,12 @@ Written from the meaning of the queries; shared parts are common table expressio
 
 from __future__ import annotations
 
-from orderloom.functions.text import VARIABLE_WEIGHT_KEYWORDS
-from orderloom.plans.catalogue import BUSINESS, RUN_AT
-from orderloom.plans.retail_tables import MIN_TOTAL
+# spelled out again rather than imported: a wrong value in the library must show
+KEYWORDS = (
+    "per lb", "per pound", "per kg", "/lb", "/kg", "variable", "by weight", "custom weight", "temp"
+)
+RUN_AT = "2024-02-01 00:00:00"
+LARGE = "total_revenue > 100000"
 
 
 def dec(c: str) -> str:
@@ -50,7 +53,7 @@ CTES = {
           CASE WHEN o_orderpriority = '5-LOW' THEN {dbl(dec(f'{TOTAL} * 0.01'))} ELSE 0.0 END
             AS refund_amount,
           o_orderstatus
-        FROM orders WHERE {TOTAL} > {MIN_TOTAL}""",
+        FROM orders WHERE {TOTAL} > 1""",
     "ln": f"""
         SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
           l_orderkey || '-' || l_linenumber AS line_item_id,
@@ -66,7 +69,7 @@ CTES = {
         SELECT order_id, line_item_id, product_title, variant_id, sku, quantity,
           {dbl('price')} AS unit_price, {dbl('quantity * price')} AS line_revenue,
           COALESCE({' OR '.join(f"contains(lower(product_title), '{k}')"
-                                for k in VARIABLE_WEIGHT_KEYWORDS)}, FALSE)
+                                for k in KEYWORDS)}, FALSE)
             AS is_variable_weight,
           'main_store' AS store
         FROM ln SEMI JOIN fo USING (order_id)""",
@@ -80,19 +83,23 @@ CTES = {
           CASE WHEN c_acctbal >= 0 THEN split_part(c_name, '#', 1) END AS first_name,
           CASE WHEN c_acctbal >= 500 THEN split_part(c_name, '#', 2) END AS last_name,
           CAST(NULL AS VARCHAR) AS phone,
-          CASE WHEN c_nationkey <> 11 THEN 'City ' || c_nationkey END AS city,
+          CASE WHEN c_nationkey <> 11 THEN CASE WHEN c_mktsegment = 'BUILDING' THEN 'Moved'
+            ELSE 'City ' || c_nationkey END END AS city,
           CASE WHEN c_nationkey <> 11 THEN r_name END AS province,
           CASE WHEN c_nationkey <> 11 THEN n_name END AS country,
           CASE WHEN c_acctbal >= 0 THEN c_custkey % 5 ELSE 0 END AS number_of_orders,
           {dbl(dec('c_acctbal'))} AS total_spent, 'USD' AS currency,
           TIMESTAMP '1992-01-01' + to_days(CAST(c_custkey % 2000 AS INTEGER)) AS created_at,
-          TIMESTAMP '1992-01-02' + to_days(CAST(c_custkey % 2000 AS INTEGER)) AS updated_at,
+          TIMESTAMP '1992-01-02' + to_days(CAST(c_custkey % 2000 AS INTEGER)
+            + CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END) AS updated_at,
+          CAST({dec('c_acctbal')} AS VARCHAR) AS spent_text,
           'main_store' AS store
         FROM customer JOIN nation ON c_nationkey = n_nationkey
           JOIN region ON n_regionkey = r_regionkey""",
     "uc": """
         SELECT * FROM rc WHERE email IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY email ORDER BY updated_at, customer_id) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY email ORDER BY updated_at DESC, spent_text, created_at,
+          customer_id) = 1""",
     "first_orders": """
         SELECT lower(trim(customer_email)) AS email, min(created_at) AS first_order_date
         FROM fo WHERE customer_email IS NOT NULL GROUP BY 1""",
@@ -294,17 +301,19 @@ INVOICE_LINE = """invoice_id, date, month, trim(customer_name) AS customer_name,
 EXPORTED = "o_orderstatus <> 'O'"
 
 ORACLE_SQL = {
-    "fact_orders": using("fo", f"SELECT {ORDER_COLUMNS} FROM fo"),
-    "fact_order_lines": using("fl", "SELECT * FROM fl"),
+    "fact_orders": using("fo", f"SELECT {ORDER_COLUMNS} FROM fo WHERE {LARGE}"),
+    "fact_order_lines": using(
+        "fl", f"SELECT * FROM fl SEMI JOIN (SELECT order_id FROM fo WHERE {LARGE}) USING (order_id)"
+    ),
     "order_filter_audit": f"""
         SELECT count(*) AS orders_read, count(*) FILTER ({TOTAL} = 0) AS zero_orders,
-          count(*) FILTER ({TOTAL} <> 0 AND {TOTAL} <= {MIN_TOTAL}) AS small_orders,
-          count(*) FILTER ({TOTAL} > {MIN_TOTAL}) AS kept_orders FROM orders""",
+          count(*) FILTER ({TOTAL} <> 0 AND {TOTAL} <= 100000) AS small_orders,
+          count(*) FILTER ({TOTAL} > 100000) AS kept_orders FROM orders""",
     "orders_with_email": using(
-        "fo uc",
+        "fo rc",
         """SELECT order_id, fo.customer_id,
-          coalesce(customer_email, uc.email) AS customer_email
-        FROM fo LEFT JOIN uc USING (customer_id)""",
+          coalesce(customer_email, rc.email) AS customer_email
+        FROM fo LEFT JOIN rc USING (customer_id)""",
     ),
     "variable_weight_lines": using(
         "fl",
@@ -322,8 +331,10 @@ ORACLE_SQL = {
           CAST({TOTAL} AS VARCHAR) AS amount,
           CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
             THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
-          CAST(1 AS BIGINT) AS line_edges
-        FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
+          count(l_orderkey) AS line_edges
+        FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
+        GROUP BY o_orderkey, o_orderdate, o_totalprice, o_orderpriority, o_custkey,
+          l_linenumber // 4""",
     "nested_order_lines": using("fl", "SELECT * FROM fl"),
     "bulk_reassemble_lines": using(
         "fl",
@@ -382,11 +393,7 @@ ORACLE_SQL = {
         SELECT s_name AS store_id, s_name AS store_name, n_name AS entity, 'pos' AS channel,
           'TBD' AS shopify_instance
         FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey <> 0
-        UNION ALL SELECT * FROM (VALUES
-          ('main_online', 'Main Online', 'Main', 'online', 'main-store.example.com'),
-          ('branch_pos_1', 'Branch POS 1', 'Branch', 'pos', 'TBD'),
-          ('branch_pos_2', 'Branch POS 2', 'Branch', 'pos', 'TBD'),
-          ('branch_online', 'Branch Online', 'Branch', 'online', 'TBD'))""",
+        UNION ALL SELECT 'shop-1', 'First shop', 'North', 'online', 'shop-1.example.org'""",
     "inventory_by_location": """
         SELECT 'i' || l_partkey AS item_id, 'SKU-' || l_partkey AS sku,
           l_partkey % 2 = 0 AS tracked, l_partkey || '@' || l_suppkey AS level_id,
@@ -456,8 +463,8 @@ ORACLE_SQL = {
     "summary_text": using(
         "figures",
         f"""SELECT 'combined' AS summary_id, 'main_store' AS store,
-          TIMESTAMP '{RUN_AT.rstrip("Z").replace("T", " ")}' AS generated_at,
-          '{BUSINESS} generated $' || {money('total_revenue')} || ' in total revenue across '
+          TIMESTAMP '{RUN_AT}' AS generated_at,
+          'The business generated $' || {money('total_revenue')} || ' in total revenue across '
           || total_transactions || ' transactions in both channels. '
           || 'B2B restaurant sales contributed $' || {money('b2b_revenue')} || ' ('
           || {pct('b2b_pct')} || '%) across ' || b2b_invoices || ' invoices from '
@@ -536,10 +543,10 @@ ORACLE_SQL = {
     "watermark_commit": f"""
         SELECT event_type AS control_key, date_trunc('second', max(ts))
             AS last_successful_watermark,
-          TIMESTAMP '{RUN_AT.rstrip("Z").replace("T", " ")}' AS last_run_at,
+          TIMESTAMP '{RUN_AT}' AS last_run_at,
           count(*) AS last_run_order_count FROM events GROUP BY 1
         UNION ALL SELECT 'nightly_watermark', date_trunc('second', max(ts)),
-          TIMESTAMP '{RUN_AT.rstrip("Z").replace("T", " ")}', count(*) FROM events""",
+          TIMESTAMP '{RUN_AT}', count(*) FROM events""",
     "stream_upsert": """
         SELECT * FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1""",

@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from orderloom.functions.dates import ISO_INSTANT, report_date
 from orderloom.functions.numbers import tolerant_double
 
-# The sales threshold that bites on these tables; their smallest order is about 1000.
-MIN_TOTAL = 100000
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -111,33 +108,35 @@ def export_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def page_text(nodes: DataFrame, entity: str) -> DataFrame:
-    """One landed page document per node."""
-    edges = F.array(F.struct(F.struct("*").alias("node")))
+def page_text(nodes: DataFrame, entity: str, page: Column) -> DataFrame:
+    """Landed page documents: the nodes of one `page` number together, a few dozen at most."""
+    node = F.struct(F.struct(*nodes.columns).alias("node"))
+    edges = nodes.groupBy(page.alias("_page")).agg(F.collect_list(node).alias("edges"))
     info = F.struct(F.lit(False).alias("hasNextPage"), F.lit("").alias("endCursor"))
-    page = F.struct(
-        F.struct(
-            F.struct(info.alias("pageInfo"), edges.alias("edges")).alias(entity)
-        ).alias("data")
+    document = F.struct(
+        F.struct(F.struct(info.alias("pageInfo"), "edges").alias(entity)).alias("data")
     )
-    return nodes.select(F.to_json(page).alias("value"))
+    return edges.select(F.to_json(document).alias("value"))
 
 
 def order_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Order pages with one nested line each; an order with many lines spans pages."""
+    """Order pages of up to ten orders, with or without lines.
+
+    An order lists the lines of up to four line numbers; one with more comes several times.
+    """
     orders = raw_orders(spark, folder)
-    lines = raw_lines(spark, folder).select(
-        F.col("__parentId").alias("id"),
-        F.array(
-            F.struct(
-                F.struct(F.col("id"), "title", "quantity", "variant").alias("node")
-            )
-        ).alias("edges"),
-    )
-    nodes = orders.join(lines, "id").select(
-        *orders.columns, F.struct("edges").alias("lineItems")
+    node = F.struct(F.struct("id", "title", "quantity", "variant").alias("node"))
+    number = F.split_part("id", F.lit("-"), F.lit(2)).cast("int")
+    lines = (
+        raw_lines(spark, folder)
+        .groupBy(F.col("__parentId"), F.floor(number / 4).alias("part"))
+        .agg(F.collect_list(node).alias("edges"))
+        .select(F.col("__parentId").alias("id"), "part", "edges")
     )
-    return page_text(nodes, "orders")
+    joined = orders.join(lines, "id", "left")
+    edges = F.coalesce("edges", F.array().cast(lines.schema["edges"].dataType))
+    nodes = joined.select(*orders.columns, F.struct(edges.alias("edges")).alias("lineItems"))
+    return page_text(nodes, "orders", F.floor(F.col("id").cast("bigint") / 10))
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -265,7 +264,7 @@ def sku_map_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """One item node per part and supplier, with the quantities of that location."""
+    """Item nodes with the quantities at up to a few locations; a part may have several nodes."""
     sold = table(spark, folder, "lineitem").groupBy("l_partkey", "l_suppkey").agg(
         F.sum(F.col("l_quantity").cast("int")).cast("int").alias("on_hand"),
         F.sum(F.when(F.col("l_returnflag") == "N", F.col("l_quantity").cast("int")))
@@ -287,15 +286,16 @@ def raw_inventory(spark: SparkSession, folder: str) -> DataFrame:
             _text(place).alias("id"), F.concat(F.lit("Location "), place).alias("name")
         ).alias("location"),
     )
-    return sold.select(
+    items = sold.groupBy(part, (place % 16).alias("some")).agg(
+        F.collect_list(F.struct(level.alias("node"))).alias("edges")
+    )
+    return items.select(
         F.concat(F.lit("i"), part).alias("id"),
         F.concat(F.lit("SKU-"), part).alias("sku"),
         (part % 2 == 0).alias("tracked"),
         F.lit("2024-01-02T03:04:05Z").alias("createdAt"),
         F.lit("2024-02-03T04:05:06Z").alias("updatedAt"),
-        F.struct(F.array(F.struct(level.alias("node"))).alias("edges")).alias(
-            "inventoryLevels"
-        ),
+        F.struct("edges").alias("inventoryLevels"),
     )
 
 

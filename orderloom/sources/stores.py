@@ -1,4 +1,4 @@
-"""Store reference data: four fixed rows, replaceable by the caller."""
+"""Store reference data: rows the caller gives."""
 
 from __future__ import annotations
 
@@ -8,14 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.schemas import DIM_STORES
 
-# Placeholder names; pass your own rows to dim_stores().
-DEFAULT_STORES = (
-    ("main_online", "Main Online", "Main", "online", "main-store.example.com"),
-    ("branch_pos_1", "Branch POS 1", "Branch", "pos", "TBD"),
-    ("branch_pos_2", "Branch POS 2", "Branch", "pos", "TBD"),
-    ("branch_online", "Branch Online", "Branch", "online", "TBD"),
-)
 
-
-def dim_stores(spark: SparkSession, stores: Sequence[tuple] = DEFAULT_STORES) -> DataFrame:
+def dim_stores(spark: SparkSession, stores: Sequence[tuple]) -> DataFrame:
+    """One row per store: id, name, entity, channel, instance."""
     return spark.createDataFrame(list(stores), DIM_STORES)
