@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.dates import month_of, report_date
 from orderloom.functions.numbers import money_or_zero, to_double, tolerant_double
 from orderloom.functions.text import blank_to_null, first_filled, trim_ws
 from orderloom.operators.orders import STORE
-from orderloom.operators.positions import dense_sequence, fill_forward
+from orderloom.operators.positions import dense_sequence
 
 # Report headings and the types that are real transactions (case-sensitive).
 HEADINGS = {
@@ -32,71 +32,117 @@ PRODUCT_POSITION = 2
 POSITION = ("file", "block", "seq")
 
 
-def header_positions(grid: DataFrame) -> DataFrame:
-    """One row per file: where its first header row is and which column each heading has."""
-    marked = grid
+def _cell(index: Column) -> Column:
+    return F.coalesce(trim_ws(F.try_element_at("cells", index + 1)), F.lit(""))
+
+
+def chunk_states(grid: DataFrame, product_position: int = PRODUCT_POSITION) -> DataFrame:
+    """One row per chunk (file, block): the header of its file, header_at and at (the column each
+    heading has), and the product that rows before its first group header belong to.
+
+    One pass folds every chunk. Which column holds the type is not known before the header is
+    found, so group headers are folded apart by which of their cells are blank.
+    """
+    # plain text search first: hardly any line gets as far as being cut into cells
+    is_header = F.lit(True)
     for mark in HEADER_MARKS:
-        # plain text search first: hardly any line gets as far as being cut into cells
-        marked = marked.where(F.col("line").contains(mark))
+        is_header = is_header & F.col("line").contains(mark)
     for mark in HEADER_MARKS:
-        marked = marked.where(F.array_contains("cells", mark))
-    header = F.min_by(F.struct("block", "seq", "cells"), F.struct("block", "seq"))
-    first = marked.groupBy("file").agg(header.alias("header"))
-    backwards = F.reverse(F.transform("header.cells", trim_ws))
+        is_header = is_header & F.array_contains("cells", mark)
+    group_cell = _cell(F.lit(product_position))
+    may_head = F.lower(group_cell).rlike(r"\A(?!total)[\s\S]")
+    blanks = F.transform("cells", lambda c: F.when(trim_ws(c) == "", "1").otherwise("0"))
+    folded = (
+        grid.select(
+            "file",
+            "block",
+            "seq",
+            F.when(is_header, F.col("cells")).alias("header"),
+            F.when(may_head, group_cell).alias("product"),
+            F.when(may_head, F.array_join(blanks, "")).alias("blanks"),
+        )
+        .groupBy("file", "block", "blanks")
+        .agg(
+            F.min(F.when(F.col("header").isNotNull(), F.struct("seq", "header"))).alias("h"),
+            F.max(F.when(F.col("product").isNotNull(), F.struct("seq", "product"))).alias("p"),
+        )
+    )
+    file = Window.partitionBy("file")
+    header = F.min(F.when(F.col("h").isNotNull(), F.struct("block", "h.seq", "h.header"))).over(file)
+    headed = folded.withColumn("top", header).where(F.col("top").isNotNull())
+    backwards = F.reverse(F.transform("top.header", trim_ws))
 
     def column_of(heading: str) -> Column:
         # searched from the end: the last column wins when a heading occurs twice
         found = F.array_position(backwards, heading)
-        return F.when(found > 0, (F.size("header.cells") - found).cast("int"))
+        return F.when(found > 0, (F.size("top.header") - found).cast("int"))
 
-    return first.select(
+    named = headed.select(
         "file",
-        F.struct("header.block", "header.seq").alias("header_at"),
+        "block",
+        "blanks",
+        "p",
+        F.struct("top.block", "top.seq").alias("header_at"),
         F.struct(*[column_of(h).alias(k) for k, h in HEADINGS.items()]).alias("at"),
     )
+    # a group header has no type: its cell there is blank, or the row ends before it
+    flag = F.substring(F.col("blanks"), F.col("at.type") + 1, F.lit(1))
+    is_group = (F.struct("block", "p.seq") > F.col("header_at")) & (
+        F.col("at.type").isNull() | (flag != "0")
+    )
+    chunks = named.groupBy("file", "block").agg(
+        F.max(F.when(is_group, F.col("p"))).alias("last"),
+        F.first("header_at").alias("header_at"),
+        F.first("at").alias("at"),
+    )
+    earlier = (
+        Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carried = F.last("last.product", ignorenulls=True).over(earlier)
+    return chunks.select("file", "block", "header_at", "at", carried.alias("carried"))
 
 
 def report_lines(grid: DataFrame, product_position: int = PRODUCT_POSITION) -> DataFrame:
     """Transaction rows of the reports, each with the product of the group it stands in.
 
-    The header of a file is handed to its chunks first, one row each. So rows are shuffled
-    once, by chunk, and that partitioning serves the fill-forward as well.
+    The text is read twice: once to fold its chunks, once for the rows. Rows are shuffled once,
+    by chunk, to find the group header above each.
     """
     # on the line rather than the cells, which would be cut twice
     filled = grid.where(F.translate("line", ", \t\r", "") != "")
-    headed = grid.select("file", "block").distinct().join(header_positions(grid), "file")
-    body = filled.join(headed, ["file", "block"]).where(
+    states = chunk_states(filled, product_position)
+    body = filled.join(states, ["file", "block"]).where(
         F.struct("block", "seq") > F.col("header_at")
     )
-
-    def cell(index: Column) -> Column:
-        return F.coalesce(trim_ws(F.try_element_at("cells", index + 1)), F.lit(""))
-
     named = body.select(
         *POSITION,
         "source_file",
-        cell(F.lit(product_position)).alias("group_cell"),
-        *[cell(F.col(f"at.{k}")).alias(k) for k in HEADINGS],
+        "carried",
+        _cell(F.lit(product_position)).alias("group_cell"),
+        *[_cell(F.col(f"at.{k}")).alias(k) for k in HEADINGS],
     )
     # Subtotals and grand totals are neither: their type is no transaction, their group cell
     # starts with "total". Few references to a cell keep the pushed-down filter small.
     is_transaction = F.col("type").isin(*TRANSACTION_TYPES)
     is_group = (F.col("type") == "") & F.lower("group_cell").rlike(r"\A(?!total)[\s\S]")
-    with_product = fill_forward(
-        named.where(is_group | is_transaction),
-        F.when(is_group, F.col("group_cell")),
-        "product",
-        group=["file"],
-        chunk=["block"],
-        order=["seq"],
-    ).where(is_transaction)
+    inside = (
+        Window.partitionBy("file", "block")
+        .orderBy("seq")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    above = F.last(F.when(is_group, F.col("group_cell")), ignorenulls=True).over(inside)
+    with_product = (
+        named.where(is_group | is_transaction)
+        .withColumn("product", F.coalesce(above, "carried", F.lit("")))
+        .where(is_transaction)
+    )
     return with_product.select(
         *POSITION,
         F.col("num").alias("invoice_num"),
         report_date(F.col("date")).alias("date"),
         F.col("date").alias("date_text"),
         F.col("name").alias("customer_name"),
-        F.coalesce("product", F.lit("")).alias("product_description"),
+        F.col("product").alias("product_description"),
         "memo",
         tolerant_double(F.col("qty")).alias("quantity"),
         F.col("uom").alias("unit_of_measure"),
@@ -132,15 +178,15 @@ def accepted(records: DataFrame) -> DataFrame:
 def invoice_lines(records: DataFrame, line_ids: str = "file", store: str = STORE) -> DataFrame:
     """One row per accepted record.
 
-    `line_ids="file"` numbers lines within their report file, so reading other files leaves
-    ids as they are; `"overall"` numbers them across all files in reading order.
+    `line_ids="file"` numbers the lines of all files of one name on, as the id carries the name:
+    equal names in several folders get no id twice, and other names leave ids as they are.
+    `"overall"` numbers them across all files in reading order.
     """
-    group = {"file": ["file"], "overall": []}[line_ids]
     numbered = dense_sequence(
         accepted(records),
         "_line",
-        group=group,
-        chunk=[c for c in ("file", "block") if c not in group],
+        group={"file": ["source_file"], "overall": []}[line_ids],
+        chunk=["file", "block"],
         order=["seq"],
     )
     file_part = [F.col("source_file")] if line_ids == "file" else []

@@ -164,7 +164,8 @@ CTES = {
           arg_min(source_file, seq) AS source
         FROM ok GROUP BY invoice_id""",
     "il": """
-        SELECT *, row_number() OVER (ORDER BY seq) - 1 AS n FROM ok""",
+        SELECT *, row_number() OVER (ORDER BY seq) - 1 AS n,
+          row_number() OVER (PARTITION BY source_file ORDER BY seq) - 1 AS n_file FROM ok""",
     "stored": f"SELECT * FROM {latest(STORED)}",
     "arriving": f"SELECT * FROM {latest(ARRIVING)}",
     "merged": """
@@ -413,7 +414,7 @@ ORACLE_SQL = {
     "b2b_invoices": using("iv", "SELECT * FROM iv"),
     "b2b_invoice_lines": using(
         "il",
-        f"SELECT invoice_id || '_' || source_file || '_' || n AS line_id, {INVOICE_LINE} FROM il",
+        f"SELECT invoice_id || '_' || source_file || '_' || n_file AS line_id, {INVOICE_LINE} FROM il",
     ),
     "b2b_positional_line_ids": using(
         "il",
