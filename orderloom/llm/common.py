@@ -41,6 +41,19 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*(F.col(f"c{columns.index(n)}").alias(n) for n in names))
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: T.StructType) -> DataFrame:
+    """mapInArrow by position, for frames whose names differ in case only or not at all."""
+    names = [f"c{i}" for i in range(len(schema.fields))]
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=names)
+
+    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    fields = [T.StructField(n, f.dataType) for n, f in zip(names, schema.fields, strict=True)]
+    return plain.mapInArrow(renamed, T.StructType(fields)).toDF(*schema.names)
+
+
 def map_texts(
     df: DataFrame,
     fields: dict[str, str],
@@ -71,7 +84,7 @@ def map_texts(
             arrays += [pa.array(v, type=t) for v, t in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def filter_texts(
@@ -87,7 +100,7 @@ def filter_texts(
                 work = start()
             yield batch.filter(pa.array(work(batch.column(at).to_pylist()), type=pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return map_arrow(df, run, df.schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -158,8 +171,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """df written to the shared folder and read again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_folder(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    plain.write.parquet(path)
+    return spark.read.schema(plain.schema).parquet(path).toDF(*df.columns)
 
 
 def shared(spark: SparkSession, label: str) -> tuple[str, str]:
@@ -219,16 +233,20 @@ class WordHashes(dict):
 
 
 class Remembered(dict):
-    """Results of a function by key, remembered up to a bound."""
+    """Results of a function by key; of two times `bound` keys at most, the least used go."""
 
     def __init__(self, make: Callable, bound: int = 400_000) -> None:
         super().__init__()
-        self.make, self.bound = make, bound
+        self.make, self.bound, self.before = make, bound, {}
 
     def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.bound:
+            self.before = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import ARROW, field, pick, written
+from orderloom.llm.common import ARROW, field, map_arrow, pick, written
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Bytes of words, lower-cased; every other byte becomes a space.
@@ -82,7 +82,7 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def without(text: str, runs: list[int]) -> str:
     """The text without the bytes from the first to the last word of each run."""
     data = text.encode("utf-8")
-    spans = [m.span() for m in WORD.finditer(data)]
+    spans = [m.span() for m in WORD.finditer(data.lower())]
     out, at = [], 0
     for start, end in zip(runs[::2], runs[1::2], strict=True):
         out.append(data[at : spans[start][0]])
@@ -147,7 +147,7 @@ def mark(
 
         if b:
             out = written(out, "benchmark-block")
-        out = out.mapInArrow(run, schema)
+        out = map_arrow(out, run, schema)
     return out
 
 
@@ -181,13 +181,13 @@ def decontaminate(
         return marked.where(F.size(RUNS) == 0).drop(COUNT, RUNS, ITEMS)
     if remove != "spans":
         raise ValueError(f"remove={remove!r}: documents or spans")
-    at, runs_at = marked.columns.index("text"), marked.columns.index(RUNS)
+    at, runs_at, names = marked.columns.index("text"), marked.columns.index(RUNS), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = zip(batch.column(at).to_pylist(), batch.column(runs_at).to_pylist(), strict=True)
             cut = pa.array([without(t, r) if r else t for t, r in pairs], pa.string())
-            arrays = [cut if i == at else batch.column(i) for i in range(len(docs.columns))]
-            yield pa.RecordBatch.from_arrays(arrays, names=docs.columns)
+            arrays = [cut if i == at else batch.column(i) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return marked.mapInArrow(run, docs.schema)
+    return map_arrow(marked, run, docs.schema)

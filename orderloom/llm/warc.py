@@ -97,8 +97,9 @@ class ArchiveWriter:
 
     def _begin(self) -> None:
         waiting, self.waiting, self.waiting_bytes = self.waiting or [], None, 0
+        size = min(DICT_BYTES, max(1024, sum(map(len, waiting)) // 10))
         try:
-            trained = zstandard.train_dictionary(DICT_BYTES, waiting)
+            trained = zstandard.train_dictionary(size, waiting)
         except zstandard.ZstdError:  # too little to train on
             trained = None
         if trained:
