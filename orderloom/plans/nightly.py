@@ -79,19 +79,23 @@ def run(
         control.read_watermark(warehouse.read("pipeline_control")), started
     )
 
+    def landed(entity: str, path: str) -> DataFrame:
+        # a page that holds something updated since landed since then, too
+        return read_pages(spark, path, entity, landed_after=since)
+
     # landed pages of several fetches overlap and may repeat an entity: the latest version counts
     newest = [instant(F.col("updatedAt")).desc()]
     raw_orders = _raw(
         warehouse,
         "orders",
         one_per_key(
-            updated_since(read_pages(spark, landing.orders, "orders"), since), ["id"], newest
+            updated_since(landed("orders", landing.orders), since), ["id"], newest
         ),
     )
     raw_customers = _raw(
         warehouse,
         "customers",
-        updated_since(read_pages(spark, landing.customers, "customers"), since),
+        updated_since(landed("customers", landing.customers), since),
     )
     mapping = read_sku_map(spark, landing.sku_map) if landing.sku_map else empty_sku_map(spark)
     raw_products = _raw(warehouse, "products", read_pages(spark, landing.products, "products"))

@@ -320,6 +320,8 @@ class TableSpec:
     `buckets` lays the table out by key hash: a row never moves, but any batch larger than
     the bucket count touches them all. `month_of` lays it out by the month of a date column,
     so a batch of recent rows rewrites recent months only.
+    `month_fixed` says that the date of a key never changes, so a key is in the month it arrives
+    for and upserts need not search the table for it.
     `version` is a staged column; a staged row older than the stored one is ignored.
     """
 
@@ -327,16 +329,21 @@ class TableSpec:
     keys: tuple[str, ...]
     buckets: int = 16
     month_of: str | None = None
+    month_fixed: bool = False
     version: str | None = None
     rules: dict[str, Callable[[Column, Column], Column]] = field(default_factory=dict)
 
 
 TABLES = {
     "fact_orders": TableSpec(
-        FACT_ORDERS, ("order_id",), month_of="created_at", version="updated_at"
+        FACT_ORDERS, ("order_id",), month_of="created_at", month_fixed=True, version="updated_at"
     ),
     "fact_order_lines": TableSpec(
-        FACT_ORDER_LINES, ("line_item_id",), month_of="order_created_at", version="updated_at"
+        FACT_ORDER_LINES,
+        ("line_item_id",),
+        month_of="order_created_at",
+        month_fixed=True,
+        version="updated_at",
     ),
     "dim_products": TableSpec(
         DIM_PRODUCTS, ("shopify_product_id", "shopify_variant_id"), version="updated_at"

@@ -63,6 +63,9 @@ class Warehouse:
         """Create the table if it is not there; an existing one stays as it is."""
         empty = self.spark.createDataFrame([], self._layout_schema(table))
         empty.write.mode("ignore").partitionBy(PART).parquet(self.path(table))
+        if self.tables[table].month_of:
+            none = self.spark.createDataFrame([], f"{PART} string")
+            none.write.mode("ignore").parquet(self._leaving_path(table))
 
     def create_all(self) -> None:
         for table in self.tables:
@@ -104,6 +107,8 @@ class Warehouse:
         spec = self.tables[table]
         keys = list(spec.keys)
         self.create(table)
+        if spec.month_of and not spec.month_fixed:
+            self._settle(table)  # what an upsert that was cut off has left
         staged = self.stage(table, rows)
         if staged.isEmpty():
             return
@@ -114,7 +119,7 @@ class Warehouse:
         else:
             arriving = {NO_MONTH}
         leaving, stored_in = set(), set()
-        if spec.month_of:
+        if spec.month_of and not (spec.month_fixed and has_part):
             # a key may be stored in another month than the one it arrives for
             moved = F.col("_from") != F.col(PART) if has_part else F.lit(False)
             months = (
@@ -133,10 +138,8 @@ class Warehouse:
         state = merge_state(target, staged, keys, self._version(table, staged), spec.rules)
         if spec.month_of:
             state = state.withColumn(PART, F.coalesce(PART, F.lit(NO_MONTH)))
-        emptied = set()
         if leaving:
-            among = state.where(F.col(PART).isin(sorted(leaving))).select(PART).distinct()
-            emptied = leaving - {row[0] for row in among.collect()}
+            self._note_leaving(table, sorted(leaving))
         (
             # hot partitions are split over several tasks and files, small ones share a task
             state.hint("rebalance", F.col(PART))
@@ -145,12 +148,45 @@ class Warehouse:
             .partitionBy(PART)
             .parquet(self.path(table))
         )
-        # dynamic overwrite leaves a partition alone when all its rows moved elsewhere
-        nothing = self.spark.createDataFrame([], self._stored_schema(table))
-        for part in emptied:
-            nothing.write.mode("overwrite").parquet(f"{self.path(table)}/{PART}={part}")
+        if leaving:
+            self._settle(table)
         self.clear_staging(table)
 
+    # ---- keys that left a month ----
+
+    def _leaving_path(self, table: str) -> str:
+        return f"{self.root}/{table}_leaving"
+
+    def _note_leaving(self, table: str, months: list[str]) -> None:
+        """Months that keys are about to leave, for whoever has to finish after a crash."""
+        noted = self.spark.createDataFrame([(m,) for m in months], f"{PART} string")
+        noted.coalesce(1).write.mode("overwrite").parquet(self._leaving_path(table))
+
+    def _settle(self, table: str) -> None:
+        """Remove what is left of moved keys in the noted months; safe to repeat at any time.
+
+        Dynamic overwrite leaves a month alone when all its rows moved elsewhere. A row goes only
+        if its key is stored in another month as well, so nothing is lost if the crash came
+        before the new state was there.
+        """
+        schema = f"{PART} string"
+        noted = self.spark.read.schema(schema).parquet(self._leaving_path(table)).collect()
+        months = sorted(row[0] for row in noted)  # some months of one batch
+        if not months:
+            return
+        keys, stored = list(self.tables[table].keys), self._stored(table)
+        of_month = stored.where(F.col(PART).isin(months))
+        elsewhere = stored.where(~F.col(PART).isin(months)).select(*keys)
+        stale = of_month.select(*keys, PART).join(elsewhere, keys, "left_semi")
+        for row in stale.select(PART).distinct().collect():
+            kept = of_month.where(F.col(PART) == row[0]).join(elsewhere, keys, "left_anti").drop(PART)
+            kept.write.mode("overwrite").parquet(f"{self.staging_path(table)}_kept")
+            again = self.spark.read.schema(kept.schema).parquet(f"{self.staging_path(table)}_kept")
+            again.write.mode("overwrite").parquet(f"{self.path(table)}/{PART}={row[0]}")
+        self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(
+            self._leaving_path(table)
+        )
+
     def _version(self, table: str, staged: DataFrame) -> str | None:
         version = self.tables[table].version
         return version if version in staged.columns else None

@@ -19,14 +19,21 @@ def unnest(pages: DataFrame, entity: str) -> DataFrame:
 
 
 def read_pages(
-    spark: SparkSession, path: str | list[str], entity: str, multi_line: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    entity: str,
+    multi_line: bool = False,
+    landed_after: str | None = None,
 ) -> DataFrame:
     """Raw entities of all landed pages below `path`.
 
     Files hold one page per line, which keeps large files splittable; `multi_line` reads
-    files that hold one indented document each.
+    files that hold one indented document each. `landed_after` (ISO, UTC) leaves older files
+    unopened.
     """
     reader = spark.read.schema(page_schema(entity)).option("mode", READ_MODE)
+    if landed_after is not None:
+        reader = reader.option("modifiedAfter", landed_after.rstrip("Z")).option("timeZone", "UTC")
     return unnest(reader.option("multiLine", multi_line).json(path), entity)
 
 

@@ -10,10 +10,10 @@ from orderloom.sources.report import read_report, read_reports
 EXAMPLE = '''﻿Report title,,,,,,,,,,,,,,,,,,,,,,
 ,,,,Type,,Date,,Num,,Memo,,Name,,Qty,,U/M,,Sales Price,,Amount,,Balance
 Inventory,,,,,,,,,,,,,,,,,,,,,,
-,,RIB-1 Ribeye,,,,,,,,,,,,,,,,,,,,
+,,WT-7 Walnut,,,,,,,,,,,,,,,,,,,,
 ,,,,Invoice,,04/01/2026,,100,,"memo, ""x""",,Cust A,,"1,000.5",,lb,,2.00,,"2,001.00",,2001.00
 ,,,,Credit Memo,,4/2/26,,101,,,,Cust B,,-1,,lb,,2.00,,-2.00,,1999.00
-,,Total RIB-1 Ribeye,,,,,,,,,,,,,,,,,,1999.00,,
+,,Total WT-7 Walnut,,,,,,,,,,,,,,,,,,1999.00,,
 ,,,,Total Inventory,,,,,,,,,,,,,,,,1999.00,,
 '''
 
@@ -23,7 +23,7 @@ def test_example_report(spark, tmp_path):
     for multi_line in (False, True):
         grid = read_report(spark, str(tmp_path / "april.csv"), multi_line=multi_line)
         found = rows(inv.report_lines(grid), "invoice_num")
-        assert [r["product_description"] for r in found] == ["RIB-1 Ribeye"] * 2
+        assert [r["product_description"] for r in found] == ["WT-7 Walnut"] * 2
         assert [str(r["date"]) for r in found] == ["2026-04-01", "2026-04-02"]
         assert [r["line_amount"] for r in found] == [2001.0, -2.0]
         assert found[0]["memo"] == 'memo, "x"' and found[0]["quantity"] == 1000.5
@@ -117,7 +117,7 @@ def records(spark, *changes):
         "invoice_num": "100",
         "date_text": "2026-04-01",
         "customer_name": "Cust A",
-        "product_description": "Ribeye",
+        "product_description": "Walnut tray",
         "memo": "",
         "quantity": 1.0,
         "unit_of_measure": "lb",

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from builders import customer, line, order, page, product
@@ -104,6 +105,41 @@ def test_rows_move_between_months(spark, tmp_path):
     assert key_audit(w.read("t"), "k").first()["passed"]
 
 
+def test_a_crash_between_two_writes_heals(spark, tmp_path, monkeypatch):
+    w = month_table(spark, tmp_path)
+    w.upsert("t", kv(spark, ("a", 1, "2026-01-05"), ("b", 2, "2026-02-05")))
+
+    def crash(table):
+        if (tmp_path / "t" / "part=2026-03").exists():
+            raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(w, "_settle", crash)
+        with pytest.raises(RuntimeError):
+            w.upsert("t", kv(spark, ("a", 10, "2026-03-05")))
+    assert pairs(w.read("t"), "k", "v") == [("a", 1), ("a", 10), ("b", 2)]
+    w.upsert("t", kv(spark, ("c", 3, "2026-03-06")))
+    assert pairs(w.read("t"), "k", "v") == [("a", 10), ("b", 2), ("c", 3)]
+
+
+def test_a_crash_before_the_first_write_loses_nothing(spark, tmp_path):
+    w = month_table(spark, tmp_path)
+    w.upsert("t", kv(spark, ("a", 1, "2026-01-05")))
+    w._note_leaving("t", ["2026-01"])
+    w.upsert("t", kv(spark, ("b", 2, "2026-02-05")))
+    assert pairs(w.read("t"), "k", "v") == [("a", 1), ("b", 2)]
+
+
+def test_fixed_months_are_not_searched(spark, tmp_path, monkeypatch):
+    spec = TableSpec(kv(spark).schema, ("k",), month_of="d", month_fixed=True)
+    w = Warehouse(spark, str(tmp_path), {"t": spec})
+    w.upsert("t", kv(spark, ("a", 1, "2026-01-05"), ("b", 2, "2026-02-05")))
+    january = next((tmp_path / "t" / "part=2026-01").glob("*.parquet"))
+    january.write_bytes(b"unreadable")
+    w.upsert("t", kv(spark, ("b", 3, "2026-02-05"), ("c", 4, "2026-02-07")))
+    assert pairs(w._stored("t").where("part = '2026-02'"), "k", "v") == [("b", 3), ("c", 4)]
+
+
 def test_only_touched_months_are_rewritten(spark, tmp_path):
     w = month_table(spark, tmp_path)
     w.upsert("t", kv(spark, ("a", 1, "2026-01-05"), ("b", 2, "2026-02-05")))
@@ -183,7 +219,7 @@ def test_nightly_run(spark, tmp_path):
         land / "orders",
         "orders",
         [
-            order("o1", lines=[line("l1"), line("l2", title="Ribeye per lb")], customer=no_mail),
+            order("o1", lines=[line("l1"), line("l2", title="Rice per lb")], customer=no_mail),
             order("o2", "0.00", lines=[line("l3")]),
             order("old", updatedAt="2026-01-01T00:00:00Z"),
         ],
@@ -195,7 +231,8 @@ def test_nightly_run(spark, tmp_path):
     landing = nightly.Landing(*[str(land / n) for n in ("orders", "customers", "products")])
     w = Warehouse(spark, str(tmp_path / "tables"))
     now = dt.datetime(2026, 3, 30, tzinfo=dt.timezone.utc)
-    report = nightly.run(spark, w, landing, now=now)
+    shops = nightly.Settings(stores=[("s1", "Shop", "North", "pos", "x")])
+    report = nightly.run(spark, w, landing, shops, now=now)
     assert (report.cutoff, report.watermark, report.orders) == (
         "2026-02-28T00:00:00Z",
         "2026-03-30T00:00:00Z",
@@ -209,7 +246,7 @@ def test_nightly_run(spark, tmp_path):
     ]
     (person,) = w.read("dim_customers").collect()
     assert str(person["first_order_date"]) == "2026-03-01 10:00:00"
-    assert w.read("dim_products").count() == 1 and w.read("dim_stores").count() == 4
+    assert w.read("dim_products").count() == 1 and w.read("dim_stores").count() == 1
 
     # a later order must not move the first order date, an older version must not win
     write_pages(
@@ -225,9 +262,13 @@ def test_nightly_run(spark, tmp_path):
         "customers",
         [customer("c1", "a@x.com", phone="9", updatedAt="2026-03-30T01:00:00Z")],
     )
+    # fetched twice: counted once; landed long ago: not opened
+    write_pages(land / "orders", "orders", [order("o1", "500.00", updatedAt="2026-03-29T23:30:00Z", customer=no_mail)])
+    (land / "orders" / "long-ago.json").write_text("no page at all")
+    os.utime(land / "orders" / "long-ago.json", (0, 0))
     later = nightly.run(spark, w, landing, now=now + dt.timedelta(days=1))
     assert later.cutoff == "2026-03-29T23:00:00Z" and later.orders == 2
-    assert pairs(w.read("fact_orders"), "order_id", "total_revenue") == [("o1", 500.0), ("o3", 99.0)]
+    assert pairs(w.read("fact_orders"), "order_id", "total_revenue") == [("o1", 500.0), ("o3", 64.2)]
     (person,) = w.read("dim_customers").collect()
     assert (str(person["first_order_date"]), person["phone"]) == ("2026-03-01 10:00:00", "9")
     (summary,) = w.read("pipeline_summary").collect()

@@ -67,7 +67,7 @@ def test_summary(spark):
     )
     l = lines(
         spark,
-        {"product_title": "Ribeye", "line_revenue": 5.0, "quantity": 3},
+        {"product_title": "Walnut tray", "line_revenue": 5.0, "quantity": 3},
         {"product_title": None, "line_revenue": 7.5},
     )
     i = invoices(spark, {"customer_name": "Grill", "total_amount": 510.0}, {"total_amount": 0.0})

@@ -36,7 +36,7 @@ def test_hot_order(spark, no_broadcast):
             "__parentId"
         ),
         F.concat(F.lit("l"), "id").alias("id"),
-        F.lit("Ribeye").alias("title"),
+        F.lit("Walnut tray").alias("title"),
         F.lit(1).alias("quantity"),
         F.struct(F.lit("v").alias("id"), F.lit("S").alias("sku"), F.lit("2").alias("price")).alias(
             "variant"
