@@ -31,7 +31,7 @@ from orderloom.session import scratch_folder, prepare
 from orderloom.sinks.merge import merge_state, staged_rows
 from orderloom.sinks.warehouse import Warehouse
 from orderloom.sources import bulk, control
-from orderloom.sources.pages import parse_pages, updated_since
+from orderloom.sources.pages import parse_pages, read_pages, updated_since
 from orderloom.sources.report import parse_grid
 from orderloom.sources.sku_map import parse_sku_map
 from orderloom.sources.stores import dim_stores
@@ -132,6 +132,29 @@ def page_unnest_orders(spark, folder):
     )
 
 
+def _landed(texts: DataFrame, name: str) -> str:
+    """Folder of text files with the rows, as a feed would leave them."""
+    path = scratch_folder(texts.sparkSession, name)
+    texts.select("value").write.text(path)
+    return path
+
+
+@query
+def landed_order_pages(spark, folder):
+    """The order pages from files, read by the reader of landed pages."""
+    path = _landed(rt.order_pages(spark, folder), "orders")
+    nodes = read_pages(spark, path, "orders", landed_after=control.cutoff())
+    return nodes.select("id", "name", F.size("lineItems.edges").cast("bigint").alias("line_edges"))
+
+
+@query
+def landed_bulk_lines(spark, folder):
+    """The bulk export from files, read by the reader of exports."""
+    records = bulk.read_bulk(spark, _landed(rt.export_text(spark, folder), "export"))
+    lines = ord_.lines_of_bulk(bulk.parents(records), bulk.children(records))
+    return lines.select("order_id", "line_item_id", "product_title", "sku", "line_revenue")
+
+
 @query
 def nested_order_lines(spark, folder):
     nodes = parse_pages(rt.order_pages(spark, folder), "value", "orders")
@@ -180,6 +203,13 @@ def customer_profile(spark, folder):
     return cust.customer_profile(_customers(spark, folder))
 
 
+@query
+def sample_customer(spark, folder):
+    return cust.sample_customer(_customers(spark, folder)).select(
+        "customer_id", "email", "first_order_date"
+    )
+
+
 @query
 def customer_first_orders(spark, folder):
     return cust.first_orders(_orders(spark, folder))
@@ -491,23 +521,18 @@ def incremental_window(spark, folder):
 
 @query
 def watermark_commit(spark, folder):
-    """Control rows of mid-month, moved on by those of the whole month and a nightly row."""
-    events = table(spark, folder, "events")
-    arriving = _control(spark, folder)
-    nightly = events.agg(
-        F.lit(control.WATERMARK_KEY).alias("control_key"),
-        F.date_trunc("second", F.max("ts")).cast("timestamp_ntz").alias(
-            "last_successful_watermark"
-        ),
-        F.lit(RUN_AT).cast("timestamp").cast("timestamp_ntz").alias("last_run_at"),
-        F.count(F.lit(1)).alias("last_run_order_count"),
-    )
-    stored = _control(spark, folder, until="2024-01-16")
-    return merge_state(
-        stored,
-        staged_rows(arriving.unionByName(nightly), ["control_key"]),
-        ["control_key"],
+    """Control rows of mid-month in a table, moved on by those of the whole month, and the row
+    that a nightly run commits."""
+    warehouse = Warehouse(spark, scratch_folder(spark, "control"))
+    warehouse.upsert("pipeline_control", _control(spark, folder, until="2024-01-16"))
+    warehouse.upsert("pipeline_control", _control(spark, folder))
+    done = table(spark, folder, "events").agg(
+        F.date_format(F.max("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.count(F.lit(1))
     )
+    watermark, count = done.first()
+    run_at = F.lit(RUN_AT).cast("timestamp")
+    warehouse.upsert("pipeline_control", control.control_row(spark, watermark, count, now=run_at))
+    return warehouse.read("pipeline_control")
 
 
 @query

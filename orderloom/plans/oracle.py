@@ -336,6 +336,16 @@ ORACLE_SQL = {
         FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
         GROUP BY o_orderkey, o_orderdate, o_totalprice, o_orderpriority, o_custkey,
           l_linenumber // 4""",
+    "landed_order_pages": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, '#' || o_orderkey AS name,
+          count(l_orderkey) AS line_edges
+        FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
+        GROUP BY o_orderkey, l_linenumber // 4""",
+    "landed_bulk_lines": using(
+        "fl",
+        f"""SELECT order_id, line_item_id, product_title, sku, line_revenue
+        FROM fl SEMI JOIN (SELECT order_id FROM fo WHERE {EXPORTED}) USING (order_id)""",
+    ),
     "nested_order_lines": using("fl", "SELECT * FROM fl"),
     "bulk_reassemble_lines": using(
         "fl",
@@ -363,6 +373,11 @@ ORACLE_SQL = {
           count(country) AS with_location, count(first_order_date) AS with_first_order
         FROM dc""",
     ),
+    "sample_customer": using(
+        "dc",
+        """SELECT customer_id, email, first_order_date FROM dc
+        ORDER BY first_order_date IS NULL, customer_id LIMIT 1""",
+    ),
     "customer_first_orders": using("first_orders", "SELECT * FROM first_orders"),
     "customer_frequency": using(
         "fo",
