@@ -10,9 +10,10 @@ independently. 32 bands of 4 coordinates make candidates: a pair of similarity 0
 a probability of 5e-8.
 
 Documents of equal sets form a class, compared once. In every bucket all classes are first
-compared with a leader, a different one per band, and linked if the full sets say so. Pairs of a
-bucket that are then still in different components are compared too, so every candidate pair is
-either verified or already connected by verified links, and pairs within a group are not listed.
+compared with two leaders and linked if the full sets say so. Pairs of a bucket that are then not
+yet known to be connected are compared too, those of large buckets in blocks inside tasks that
+return connecting links only. So every candidate pair is either verified or connected by verified
+links, and the pairs within a group are never listed.
 
 Rows of one doc_id are one document: links of any of its texts are its links. A row without text
 or words is linked with nothing. A null doc_id takes the component of equal texts that have ids;
@@ -25,13 +26,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import WordHashes, map_texts, mix64, pick, written
+from orderloom.llm.common import WordHashes, flagged, map_texts, mix64, pick, written
 
 COORDINATES, ROWS = 128, 4
+#: Buckets of more classes are compared in blocks of about so many.
+LARGE, BLOCK = 32, 250
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _FACTOR = np.uint64(0x9FB21C651E98DF25)
 
@@ -108,7 +112,7 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """digest and shingles of the wanted classes (digest, rep)."""
+    """rep, mark and shingles of the wanted classes (rep, mark)."""
 
     def start() -> Callable[[list], list]:
         of = Shingler(size).of
@@ -120,119 +124,177 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         return work
 
     ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    texts = pick(docs, "doc_id", "text").join(ids, "doc_id", "left_semi")
+    texts = pick(docs, "doc_id", "text").where(flagged(ids, "doc_id"))
+    texts = texts.join(ids, "doc_id", "left_semi")
     found = map_texts(texts, {"digest": "binary", "shingles": "array<bigint>"}, start, drop=("text",))
+    found = found.select(F.col("doc_id").alias("rep"), _mark(F.col("digest")).alias("mark"), "shingles")
     # rows of one id may hold several texts, or one text several times
-    return (
-        found.join(wanted, (found.digest == wanted.digest) & (found.doc_id == wanted.rep), "left_semi")
-        .groupBy("digest")
-        .agg(F.first("shingles").alias("shingles"))
-    )
+    found = found.join(wanted, ["rep", "mark"], "left_semi")
+    return found.groupBy("rep", "mark").agg(F.first("shingles").alias("shingles"))
+
+
+def _mark(digest: Column) -> Column:
+    """64 bits of a digest: tells the texts under one doc_id apart."""
+    return F.conv(F.hex(F.substring(digest, 1, 8)), 16, -10).cast("bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b with their digests) whose full sets are similar enough, as (u, v)."""
-    one = sets.select(F.col("digest").alias("a"), F.col("shingles").alias("of_a"))
-    two = sets.select(F.col("digest").alias("b"), F.col("shingles").alias("of_b"))
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    either = F.size("of_a") + F.size("of_b") - both
-    joined = pairs.join(one, "a").join(two, "b")
+    """The pairs (u, mu, v, mv) whose full sets are similar enough, as (u, v)."""
+    one = sets.select(F.col("rep").alias("u"), F.col("mark").alias("mu"), F.col("shingles").alias("of_u"))
+    two = sets.select(F.col("rep").alias("v"), F.col("mark").alias("mv"), F.col("shingles").alias("of_v"))
+    both = F.size(F.array_intersect("of_u", "of_v"))
+    either = F.size("of_u") + F.size("of_v") - both
+    joined = pairs.join(one, ["u", "mu"]).join(two, ["v", "mv"])
     return joined.where(100 * both >= percent * either).select("u", "v")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node and component (least node reachable) of every node of the edges (u, v).
 
-    Alternating star contraction: a node's larger neighbours, then its smaller ones, are hung on
-    the least of its neighbourhood, until nothing moves. Every round is written to shared storage.
+    Every node takes the least label among its neighbours, then the label of its label, until
+    nothing changes. Every round is written to shared storage.
     """
     edges = edges.where(F.col("u") != F.col("v"))
-    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges, before = written(edges, "edges"), None
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.where("u != v").distinct(), "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = hung.where("u != v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = written(small, "small-star")
-        state = edges.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.max("v")
-        ).first()
-        if state == before:
-            break
-        before = state
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    turned = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+    both = written(edges.unionByName(turned).distinct(), "edges")
+    labels = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")), "labels")
+    changed = 1
+    while changed:
+        near = both.join(labels.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("label").alias("near"))
+        new = labels.join(near, "u").select("u", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        ends = new.select(F.col("u").alias("label"), F.col("label").alias("end"))
+        labels = written(new.join(ends, "label").select("u", "old", F.col("end").alias("label")), "labels")
+        changed = labels.where("old != label").limit(1).count()
+        labels = labels.select("u", "label")
+    return labels.select(F.col("u").alias("node"), F.col("label").alias("component"))
+
+
+def _buckets(classes: DataFrame) -> DataFrame:
+    """bucket, rep, mark, n and lead (1 or 2 bits) of the classes that share a bucket with others.
+
+    Two classes lead a bucket: the one with the most copies, as originals tend to be, and the one
+    that a hash picks, another one in every band.
+    """
+    few = F.lit(1 << 20) - F.least(F.col("copies"), F.lit((1 << 20) - 1))
+    members = classes.select("rep", "mark", "n", few.alias("few"), F.explode("bands").alias("bucket"))
+    chance = F.xxhash64("rep", "mark", "bucket")
+    members = members.withColumns(
+        {"chance": chance, "turn": F.shiftleft("few", 40).bitwiseOR(F.shiftrightunsigned(chance, 24))}
     )
+    crowded = written(
+        members.groupBy("bucket")
+        .agg(F.min("turn").alias("first"), F.min("chance").alias("least"), F.count("*").alias("size"))
+        .where("size > 1"),
+        "crowded",
+    )
+    lead = (F.col("turn") == F.col("first")).cast("int") + 2 * (F.col("chance") == F.col("least")).cast("int")
+    kept = members.where(flagged(crowded, "bucket")).join(crowded, "bucket")
+    return written(kept.select("bucket", "rep", "mark", "n", "size", lead.alias("lead")), "buckets")
+
 
+def _block_links(rows: DataFrame, leaders: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that connect the rows (bucket, rep, mark, label) of large buckets.
 
-def _classes(docs: DataFrame, scan: DataFrame, size: int, percent: int) -> DataFrame:
+    The members of all buckets of one leader are dealt into blocks, and every two blocks meet in
+    a task of their own, which keeps to itself all pairs but those that connect something. Pairs
+    whose sketches agree in less than 60 percent cannot be alike (error below 1e-6 at 0.8).
+    """
+    groups = rows.join(leaders, "bucket").select("u", "mu", "rep", "mark", "label").distinct()
+    groups = written(groups, "groups")
+    counts = groups.groupBy("u", "mu").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = groups.join(counts, ["u", "mu"]).join(sets, ["rep", "mark"])
+    own = F.pmod(F.xxhash64("rep", "mark"), F.col("blocks")).cast("int")
+    dealt = dealt.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        reps, labels, own = pdf["rep"].tolist(), pdf["label"].tolist(), pdf["own"].to_numpy()
+        shingles = [np.asarray(s, np.int64) for s in pdf["shingles"]]
+        rows = sketches([s.view(np.uint64) for s in shingles])
+        sizes = np.array([len(s) for s in shingles])
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        out = []
+        within = pdf["low"].iloc[0] == pdf["high"].iloc[0]
+        for i in range(len(reps) - 1):
+            alike = (rows[i + 1 :] == rows[i]).mean(axis=1)
+            near = np.minimum(sizes[i], sizes[i + 1 :]) * 100 >= np.maximum(sizes[i], sizes[i + 1 :]) * percent
+            meet = np.full(len(alike), True) if within else own[i + 1 :] != own[i]
+            for j in np.flatnonzero((alike >= 0.6) & near & meet) + i + 1:
+                a, b = root(labels[i]), root(labels[j])
+                if a == b:
+                    continue
+                both = len(np.intersect1d(shingles[i], shingles[j], assume_unique=True))
+                if 100 * both >= percent * (sizes[i] + sizes[j] - both):
+                    parent[max(a, b)] = min(a, b)
+                    out.append((reps[i], reps[j]))
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+    columns = ["u", "mu", "low", "high", "own", "rep", "label", "shingles"]
+    return dealt.select(*columns).groupBy("u", "mu", "low", "high").applyInPandas(links, "u long, v long")
+
+
+def _classes(docs: DataFrame, scan: DataFrame, size: int, percent: int, large: int = LARGE) -> DataFrame:
     """digest and component of every class of equal sets whose texts have an id."""
+    known = scan.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     classes = written(
-        scan.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
+        known.groupBy("digest").agg(
+            F.min("doc_id").alias("rep"),
+            F.count("*").alias("copies"),
+            F.first("n_shingles").alias("n"),
+            F.first("bands").alias("bands"),
+        ),
         "classes",
-    )
-    members = classes.select("digest", "rep", "n", F.explode("bands").alias("bucket"))
-    members = members.withColumn("turn", F.xxhash64("digest", "bucket"))
-    leaders = written(
-        members.groupBy("bucket")
-        .agg(F.min(F.struct("turn", "digest", "rep", "n")).alias("l"), F.count("*").alias("size"))
-        .where("size > 1")
-        .select("bucket", F.col("l.digest").alias("a"), F.col("l.rep").alias("u"), F.col("l.n").alias("na")),
-        "leaders",
-    )
-    shared_buckets = written(members.drop("turn").join(leaders, "bucket"), "buckets")
-    enough = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    stars = (
-        shared_buckets.select("a", "u", "na", F.col("digest").alias("b"), F.col("rep").alias("v"), F.col("n").alias("nb"))
-        .where(enough & (F.col("a") != F.col("b")))
-        .select("a", "u", "b", "v")
-        .distinct()
-    )
-    stars = written(stars, "stars")
-    involved = shared_buckets.select("digest", "rep").distinct()
-    sets = written(_sets(docs, involved, size), "sets")
-    linked = _verified(stars, sets, percent)
+    ).withColumn("mark", _mark(F.col("digest")))
+    buckets = _buckets(classes)
+    one = buckets.select("bucket", F.col("rep").alias("u"), F.col("mark").alias("mu"), F.col("n").alias("nu"), "lead")
+    two = buckets.select("bucket", F.col("rep").alias("v"), F.col("mark").alias("mv"), F.col("n").alias("nv"))
+    enough = F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent
+    other = (F.col("u") != F.col("v")) | (F.col("mu") != F.col("mv"))
+    names = ("u", "mu", "v", "mv")
+    stars = one.where("lead > 0").join(two, "bucket").where(enough & other).select(*names).distinct()
+    sets = written(_sets(docs, buckets.select("rep", "mark").distinct(), size), "sets")
+    linked = written(_verified(stars, sets, percent), "star-links")
+    # a class takes the least leader it is linked with, then that one's: equal labels are connected
+    label = linked.groupBy(F.col("v").alias("rep")).agg(F.min("u").alias("label"))
+    label = written(label.select("rep", F.least("rep", "label").alias("label")), "leaders")
+    onward = label.select(F.col("rep").alias("label"), F.col("label").alias("next"))
+    label = label.join(onward, "label", "left").select("rep", F.coalesce("next", "label").alias("label"))
+    # pairs of a bucket that the leaders have not brought together
+    placed = buckets.drop("lead").join(label, "rep", "left")
+    placed = written(placed.withColumn("label", F.coalesce("label", "rep")), "placed")
+    mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    rest = written(placed.join(mixed.where("low != high").select("bucket"), "bucket", "left_semi"), "rest")
+    small = rest.where(F.col("size") <= large)
+    one = small.select("bucket", F.col("rep").alias("u"), F.col("mark").alias("mu"), F.col("n").alias("nu"), F.col("label").alias("lu"))
+    two = small.select("bucket", F.col("rep").alias("v"), F.col("mark").alias("mv"), F.col("n").alias("nv"), F.col("label").alias("lv"))
+    pairs = one.join(two, "bucket").where((F.col("lu") < F.col("lv")) & enough).select(*names).distinct()
+    leaders = buckets.where(F.col("lead").bitwiseAND(F.lit(1)) == 1)
+    leaders = leaders.groupBy("bucket").agg(F.min(F.struct("rep", "mark")).alias("l"))
+    leaders = leaders.select("bucket", F.col("l.rep").alias("u"), F.col("l.mark").alias("mu"))
+    crowds = rest.where(F.col("size") > large).select("bucket", "rep", "mark", "label")
+    linked = linked.unionByName(_verified(pairs, sets, percent))
+    linked = linked.unionByName(_block_links(crowds, leaders, sets, percent))
     # several texts of one id belong together
-    known = scan.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     reps = known.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest")
     same = reps.groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v"))
-    repeated = same.where("u != v").select("doc_id")
-    more = reps.join(repeated, "doc_id", "left_semi").select(F.col("rep").alias("u"), F.col("doc_id").alias("v"))
-    linked = written(linked.unionByName(more), "links")
-    found = written(components(linked), "components")
-    # pairs of a bucket that the leaders have not brought together
-    placed = shared_buckets.select("bucket", "digest", "rep", "n").join(
-        found.withColumnRenamed("node", "rep"), "rep", "left"
-    )
-    placed = written(placed.withColumn("component", F.coalesce("component", "rep")), "placed")
-    open_buckets = (
-        placed.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low != high")
-        .select("bucket")
-    )
-    rest = written(placed.join(open_buckets, "bucket", "left_semi"), "open-buckets")
-    one = rest.select("bucket", F.col("digest").alias("a"), F.col("rep").alias("u"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    two = rest.select("bucket", F.col("digest").alias("b"), F.col("rep").alias("v"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    pairs = one.join(two, "bucket").where((F.col("ca") < F.col("cb")) & enough).select("a", "u", "b", "v").distinct()
-    done = stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    pairs = pairs.join(done, ["a", "b"], "left_anti")
-    links = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    found = components(links.unionByName(_verified(pairs, sets, percent)))
-    named = classes.select("digest", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    repeated = written(same.where("u != v").select("doc_id"), "repeated-ids")
+    more = reps.join(repeated, "doc_id", "left_semi")
+    linked = linked.unionByName(more.select(F.col("rep").alias("u"), F.col("doc_id").alias("v")))
+    found = components(linked).withColumnRenamed("node", "rep")
+    named = classes.select("digest", "rep").join(found, "rep", "left")
     return written(named.select("digest", F.coalesce("component", "rep").alias("component")), "named-classes")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, large: int = LARGE) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable) and kept of every row."""
     scan = written(_scan(docs, shingle), "scan")
-    named = _classes(docs, scan, shingle, percent)
+    named = _classes(docs, scan, shingle, percent, large)
     rows = scan.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return rows.select(
