@@ -126,11 +126,12 @@ def components_of(rows, size=4):
     return sets, {n: g for g in groups.values() for n in g}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_near_duplicates_equal_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "large"), [(1, 32), (2, 1)])
+def test_near_duplicates_equal_brute_force(spark, seed, large, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 5)
     rows = near_rows(seed, 120)
     sets, group = components_of(rows)
-    found = {r.doc_id: r for r in near_dedup.near_duplicates(documents(spark, rows).repartition(3)).collect()}
+    found = {r.doc_id: r for r in near_dedup.near_duplicates(documents(spark, rows).repartition(3), large=large).collect()}
     for n, (i, own) in sets.items():
         component = min(rows[m][0] for m in group[n])
         r = found[i]
