@@ -30,6 +30,21 @@ def test_example_report(spark, tmp_path):
         assert found[0]["source_file"] == "april.csv"
 
 
+def test_report_text_is_read_twice(spark, tmp_path):
+    (tmp_path / "april.csv").write_text(EXAMPLE, encoding="utf-8")
+    lines = inv.report_lines(read_report(spark, str(tmp_path)))
+    assert lines._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 2
+
+
+def test_equal_file_names_share_no_line_id(spark, tmp_path):
+    for folder in ("a", "b", "c"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "april.csv").write_text(EXAMPLE, encoding="utf-8")
+    grid = read_report(spark, [str(tmp_path / f) for f in ("a", "b", "c")])
+    ids = [r["line_id"] for r in inv.invoice_lines(inv.report_lines(grid)).collect()]
+    assert len(ids) == len(set(ids)) == 6
+
+
 def long_report(products=40, per_product=9):
     lines = ["Title", EXAMPLE.splitlines()[1]]
     expected = []
