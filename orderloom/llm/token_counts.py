@@ -30,7 +30,7 @@ STEM = 4
 class PrefixCounter:
     """Token counts as the tokenizers library gives them for a byte-level BPE file."""
 
-    def __init__(self, path: str, remember: int = 300_000) -> None:
+    def __init__(self, path: str, remember: int = 200_000) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         byte_of = {c: b for b, c in enumerate(LETTERS)}
@@ -50,7 +50,7 @@ class PrefixCounter:
             self.right_side[token] = self._side(token, made, 2)
             self.left_side[token] = self._side(token, made, 1)
         self.whole = {t for d, t in self.ids.items() if len(d) == 1 or self._whole(t, made)}
-        self.apart = Remembered(self._apart, 1_000_000)
+        self.apart = Remembered(self._apart, 500_000)
         self.of_stem = Remembered(self._extended, 100_000)
         self.of_piece = Remembered(self._last_count, remember)
         self.of_unit = Remembered(lambda u: self._unit(" " + u), remember)

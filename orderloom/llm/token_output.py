@@ -41,14 +41,16 @@ _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-Þß-öø-ÿ]+)([.,;:!?]*)")
 class WordTokens:
     """ids of texts under a tokenizers file that drops white space, as bytes."""
 
-    def __init__(self, path: str, remember: int = 250_000) -> None:
+    def __init__(self, path: str, remember: int = 300_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.of_word = Remembered(self._word, remember)
         self.of_part = Remembered(self._part, remember)
 
     def _word(self, word: str) -> bytes:
         """A word whose normal form is its lower case, by the library's model alone."""
-        letters = as_letters(unicodedata.normalize("NFC", word).lower().encode("utf-8"))
+        letters = word.lower()
+        if not word.isascii():
+            letters = as_letters(unicodedata.normalize("NFC", word).lower().encode("utf-8"))
         return _pack([t.id for t in self.tokenizer.model.tokenize(letters)])
 
     def _part(self, part: bytes) -> bytes:

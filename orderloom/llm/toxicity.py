@@ -116,7 +116,7 @@ class Restorer:
 
     def __init__(self, costs: np.ndarray) -> None:
         self.costs = costs
-        self.of_token = Remembered(self._words, 400_000)
+        self.of_token = Remembered(self._words, 200_000)
 
     def _steps(self, text: str, apart: bool) -> list[list[tuple[str, float]]]:
         """Per place the readings (letters, cost); a gap is a space."""
