@@ -54,6 +54,20 @@ def test_lines_equal_brute_force(spark):
     assert len(found) == len(ordered) and 20 < removed < len(ordered)
 
 
+def test_links_of_classes_equal_brute_force(spark):
+    # a group of like lines, in which one earlier match settles a line, among others
+    base = [f"w{k}" for k in range(20)]
+    near = [(1000 + i, " ".join([*base[:i], f"new{i}", *base[i + 1 :]])) for i in range(20)]
+    rows = varied(3, 60) + near + [(2000, near[4][1].upper())]
+    found = line_dedup.line_matches(documents(spark, rows).repartition(3)).collect()
+    sets = {(i, k): own for (_, i, _, k), own in line_sets(rows).items()}
+    distinct = set(sets.values())
+    links = {own: sum(own != o and 5 * len(own & o) >= 4 * len(own | o) for o in distinct) for own in distinct}
+    assert {(r.doc_id, r.line_no): r.n_links for r in found} == {place: links[own] for place, own in sets.items()}
+    assert max(links.values()) == 19
+    assert len({(r.class_id, sets[r.doc_id, r.line_no]) for r in found}) == len({r.class_id for r in found}) == len(distinct)
+
+
 def test_texts_keep_first_lines_and_blank_ones(spark):
     rows = varied(9, 40) + [(100, "\nfirst line here\n\nfirst  LINE here\n"), (100, None), (101, ""), (None, "alone once")]
     out = line_dedup.deduplicate_lines(documents(spark, rows))
