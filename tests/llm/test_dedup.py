@@ -85,6 +85,16 @@ def test_texts_keep_first_lines_and_blank_ones(spark):
     assert got == sorted(want)
 
 
+def test_texts_without_id_keep_lines_of_their_own(spark):
+    # so many that some share 16 bits of a hash
+    alone = [f"only{i} text{i} alone{i}" for i in range(1500)]
+    common = [f"the line of many\nend{i} of{i} it{i}" for i in range(1500)]
+    out = line_dedup.deduplicate_lines(documents(spark, [(None, t) for t in alone + common]))
+    got = [r[3] for r in out.collect()]
+    assert sum(t.startswith("the line of many\n") for t in got) == 1
+    assert sorted(t.removeprefix("the line of many\n") for t in got) == sorted(alone + [t.split("\n")[1] for t in common])
+
+
 def test_lines_stand_edge_cases(spark):
     docs = documents(spark, EDGES)
     assert line_dedup.deduplicate_lines(docs).count() == len(EDGES)
