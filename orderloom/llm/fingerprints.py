@@ -1,10 +1,10 @@
 """Document fingerprints by consistent weighted sampling.
 
 A text is a bag of words (lower-cased in ASCII, split at ASCII white space) weighted by how often
-they occur; words are hashed to 65,536 terms. For each of 128 coordinates every term has fixed
-draws r, c from Gamma(2, 1) and b uniform. A term of weight w is rounded down to the last of its
-grid points, t = floor(ln w / r + b), and takes the value ln c - r (t - b + 1); the term with the
-least value is the sample (term, t). Two texts agree in a coordinate with the probability of the
+they occur. For each of 128 coordinates every word has fixed draws r, c from Gamma(2, 1) and b
+uniform, derived from its 64-bit hash and the coordinate. A word of weight w is rounded down to the
+last of its grid points, t = floor(ln w / r + b), and takes the value ln c - r (t - b + 1); the word
+with the least value is the sample (word, t). Two texts agree in a coordinate with the probability of the
 generalised Jaccard similarity of their weights, sum of minima over sum of maxima. A fingerprint
 holds 16 bits of each sample, so 1 of 65,536 differing samples agrees as well.
 
@@ -25,47 +25,93 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import WordHashes, in_ranges, map_texts, mix64, pick
 
 SAMPLES = 128
-TERMS = 1 << 16
+#: Words whose draws a worker remembers, 1.5 KB each, and how many of them it keeps for good.
+CACHED, KEPT = 1 << 16, 3 << 14
+#: Words of a text that are looked at together.
+BLOCK = 1 << 12
 
 
 class Sampler:
-    """Draws of all terms and coordinates, the same in every process."""
-
-    def __init__(self) -> None:
-        base = np.arange(TERMS * SAMPLES, dtype=np.uint64) * np.uint64(8)
-
-        def uniform(k: int) -> np.ndarray:
-            return ((mix64(base + np.uint64(k)) >> np.uint64(40)).astype(np.float32) + 0.5) / (1 << 24)
-
-        shape = (TERMS, SAMPLES)
-        self.r = -np.log(uniform(0) * uniform(1)).reshape(shape)
-        log_c = np.log(-np.log(uniform(2) * uniform(3))).reshape(shape)
-        self.b = uniform(4).reshape(shape)
-        self.once = log_c - self.r * (1 - self.b)  # the value of a term of weight 1
+    """Draws of words and coordinates, the same in every process whatever is remembered."""
+
+    def __init__(self, cached: int = CACHED, kept: int = KEPT) -> None:
+        self.cached, self.kept = cached, kept
+        self.seeds = mix64(np.arange(2 * SAMPLES, dtype=np.uint64)).reshape(2, 1, SAMPLES)
+        self.r, self.b, self.once = (np.empty((cached, SAMPLES), np.float32) for _ in range(3))
+        self.slots: dict[int, int] = {}
+        self.owners: list[int] = []  # the word of each slot
+        self.next = kept
         self.hashes = WordHashes()
         self.columns = np.arange(SAMPLES)
 
+    def draws(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """r, b and the values at weight 1 of hashed words in all coordinates."""
+        x, y = (mix64(words[:, None] ^ seeds) for seeds in self.seeds)
+
+        def uniform(bits: np.ndarray) -> np.ndarray:
+            # 23 bits: with the half they fit a float, so no draw is 0 or 1
+            return ((bits & np.uint64(0x7FFFFF)).astype(np.float32) + np.float32(0.5)) / np.float32(1 << 23)
+
+        r = -np.log(uniform(x) * uniform(x >> np.uint64(23)))
+        log_c = np.log(-np.log(uniform(y) * uniform(y >> np.uint64(23))))
+        b = uniform(x >> np.uint64(46) ^ (y >> np.uint64(46)) << np.uint64(5))
+        return r, b, log_c - r * (1 - b)
+
+    def remember(self, words: list[int], drawn: tuple[np.ndarray, ...]) -> None:
+        """The first words stay; of the others, those that came last."""
+        at = []
+        for word in words[-(self.cached - self.kept) :]:
+            if len(self.owners) < self.cached:
+                slot = len(self.owners)
+                self.owners.append(word)
+            else:
+                slot = self.next
+                self.next = slot + 1 if slot + 1 < self.cached else self.kept
+                del self.slots[self.owners[slot]]
+                self.owners[slot] = word
+            self.slots[word] = slot
+            at.append(slot)
+        for table, new in zip((self.r, self.b, self.once), drawn, strict=True):
+            table[at] = new[len(words) - len(at) :]
+
+    def looked_up(self, words: np.ndarray, single: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The values at weight 1 of all words, r and b of those from `single` on."""
+        listed = words.tolist()
+        slots = np.fromiter((self.slots.get(w, -1) for w in listed), np.int64, len(listed))
+        new = np.flatnonzero(slots < 0)
+        once, r, b = self.once[slots], self.r[slots[single:]], self.b[slots[single:]]
+        if len(new):
+            drawn = self.draws(words[new])
+            once[new] = drawn[2]
+            first = int(np.searchsorted(new, single))
+            r[new[first:] - single], b[new[first:] - single] = drawn[0][first:], drawn[1][first:]
+            self.remember([listed[k] for k in new], drawn)
+        return once, r, b
+
     def fingerprint(self, text: str) -> np.ndarray:
         words = text.encode("utf-8").lower().split()
         if not words:
             return np.full(SAMPLES, 0xFFFF, np.uint16)
         hashed = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        terms, counts = np.unique((hashed & np.uint64(TERMS - 1)).astype(np.int64), return_counts=True)
+        terms, counts = np.unique(hashed, return_counts=True)
         order = np.argsort(counts > 1, kind="stable")
         terms, counts = terms[order], counts[order]
-        single = int(np.searchsorted(counts > 1, True))
-        value = self.once[terms]
-        more = terms[single:]
-        r = self.r[more]
-        grid = np.floor(np.log(counts[single:, None].astype(np.float32)) / r + self.b[more])
-        value[single:] -= r * grid
-        best = value.argmin(axis=0)
-        at = np.zeros(SAMPLES, np.int64)
-        if len(more):
+        least = np.full(SAMPLES, np.inf, np.float32)
+        word, at = np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES, np.int64)
+        for k in range(0, len(terms), BLOCK):
+            some, weights = terms[k : k + BLOCK], counts[k : k + BLOCK]
+            single = int(np.searchsorted(weights > 1, True))
+            value, r, b = self.looked_up(some, single)
+            grid = np.floor(np.log(weights[single:, None].astype(np.float32)) / r + b)
+            value[single:] -= r * grid
+            best = value.argmin(axis=0)
+            found = value[best, self.columns]
+            step = np.zeros(SAMPLES, np.int64)
             repeated = best >= single
-            at[repeated] = grid[best[repeated] - single, self.columns[repeated]]
-        key = terms[best].astype(np.uint64) << np.uint64(32) | (at & 0xFFFFFFFF).astype(np.uint64)
-        return (mix64(key) % np.uint64(0xFFFF)).astype(np.uint16)
+            step[repeated] = grid[best[repeated] - single, self.columns[repeated]]
+            less = found < least
+            least[less], word[less], at[less] = found[less], some[best[less]], step[less]
+        return (mix64(word + mix64(at.astype(np.uint64))) % np.uint64(0xFFFF)).astype(np.uint16)
 
 
 _SAMPLER: list[Sampler] = []

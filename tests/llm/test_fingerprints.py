@@ -25,6 +25,23 @@ def test_likeness_follows_generalised_jaccard():
         assert abs(found - generalised_jaccard(a, b)) < 0.15
 
 
+def test_long_texts_without_a_common_word_are_not_alike():
+    sampler = fingerprints.sampler()
+    a, b = (" ".join(f"{c}{k}" for k in range(50_000)) for c in "vw")
+    half = " ".join(f"v{k}" for k in range(25_000, 75_000))
+    of = sampler.fingerprint(a)
+    assert fingerprints.likeness(of, sampler.fingerprint(b)) < 0.03
+    assert abs(fingerprints.likeness(of, sampler.fingerprint(half)) - 1 / 3) < 0.15
+
+
+def test_fingerprints_do_not_depend_on_what_is_remembered():
+    texts = [sentence(k, 30 * k) + f" own{k} own{k} own{k + 1}" for k in range(1, 12)]
+    texts.append(" ".join(f"w{k}" for k in range(9000)) + " w3 w8000 w8000")
+    small, large = fingerprints.Sampler(cached=40, kept=10), fingerprints.Sampler()
+    for t in texts + texts[::-1]:
+        assert np.array_equal(small.fingerprint(t), large.fingerprint(t))
+
+
 def test_edits_take_the_next_document(spark):
     rows = [*EDGES, *((100 + k, sentence(k, 20 + k)) for k in range(40))]
     found = fingerprints.compare_edits(documents(spark, rows).repartition(3)).collect()
