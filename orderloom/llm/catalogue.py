@@ -11,11 +11,13 @@ from orderloom.llm import (
     fingerprints,
     line_dedup,
     near_dedup,
+    prefix_trie,
     quality,
     token_counts,
     token_output,
     toxicity,
     warc,
+    whitening,
 )
 
 
@@ -68,6 +70,14 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, folder, "conversations"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.components(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
@@ -79,6 +89,8 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality": op10_quality,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLE_SQL = {
@@ -131,5 +143,48 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+""",
+    # every prefix of every rebuilt conversation, and sums over all pairs of a prefix and one below it
+    "op11_prefix_trie": r"""
+WITH t AS (
+  SELECT conv_id, sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '')
+           || coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS b, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), l AS (
+  SELECT conv_id, list({'h': h, 'b': b} ORDER BY turn NULLS FIRST, h) AS w FROM t GROUP BY conv_id
+), crc_bits(i, v) AS (
+  SELECT i, CAST(i AS UBIGINT) FROM range(256) r(i)
+), crc_table AS (
+  SELECT list(list_reduce(list_prepend(v, range(8)::UBIGINT[]),
+    lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END) ORDER BY i) AS steps
+  FROM crc_bits
+), crc AS (
+  SELECT conv_id, xor(list_reduce(list_prepend(4294967295::UBIGINT,
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS UBIGINT))),
+    lambda a, c: xor(a >> 8, steps[CAST(xor(a & 255, c) + 1 AS INT)])), 4294967295::UBIGINT) % 9 AS h
+  FROM l, crc_table
+), r AS (
+  SELECT l.conv_id, list_concat(coalesce(b.w, [])[1:CAST(h AS INT)], l.w[CAST(h AS INT) + 1:]) AS w
+  FROM l JOIN crc USING (conv_id) LEFT JOIN l b ON b.conv_id = l.conv_id - l.conv_id % 5
+), p AS (
+  SELECT conv_id, d, len(w) AS size, CASE WHEN d > 0 THEN w[d].b ELSE 0 END AS b,
+         sha256(array_to_string(list_transform(w[1:d], lambda x: x.h), '')) AS p,
+         CASE WHEN d > 0 THEN sha256(array_to_string(list_transform(w[1:d - 1], lambda x: x.h), '')) END AS up
+  FROM (SELECT conv_id, w, unnest(range(len(w) + 1)) AS d FROM r)
+), n AS (
+  SELECT p, d, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(b) AS b,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = d), '') AS ends
+  FROM p GROUP BY p, d
+), c AS (
+  SELECT up AS p, count(*) AS n_children FROM n GROUP BY up
+), pairs AS (
+  SELECT DISTINCT x.p AS top, y.p AS below FROM p x JOIN p y ON x.conv_id = y.conv_id AND x.d <= y.d
+), s AS (
+  SELECT top AS p, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * b) AS saved_tokens
+  FROM pairs JOIN n ON n.p = below LEFT JOIN c ON c.p = below GROUP BY top
+)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n LEFT JOIN n u ON u.p = n.up LEFT JOIN c ON c.p = n.p JOIN s ON s.p = n.p
 """,
 }
