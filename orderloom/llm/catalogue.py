@@ -13,6 +13,7 @@ from orderloom.llm import (
     near_dedup,
     prefix_trie,
     quality,
+    substring_dedup,
     token_counts,
     token_output,
     toxicity,
@@ -78,6 +79,10 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.components(table(spark, folder, "embeddings"))
 
 
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
@@ -91,6 +96,7 @@ QUERIES = {
     "op10_quality": op10_quality,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_whitening": op12_whitening,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 ORACLE_SQL = {
@@ -186,5 +192,27 @@ WITH t AS (
 SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
        n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
 FROM n LEFT JOIN n u ON u.p = n.up LEFT JOIN c ON c.p = n.p JOIN s ON s.p = n.p
+""",
+    # all windows of all documents are listed
+    "op13_substring_dedup": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS o,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), win AS (
+  SELECT rid, o, i, sha256(array_to_string(w[i:i + 49], ' ')) AS s
+  FROM (SELECT rid, o, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+), hit AS (
+  SELECT DISTINCT rid, unnest(range(i, i + 50)) AS p
+  FROM win JOIN (SELECT s, min(o) AS least FROM win GROUP BY s) USING (s) WHERE o > least
+), kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d)
+       ANTI JOIN hit USING (rid, p)
+  GROUP BY rid
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
 """,
 }
