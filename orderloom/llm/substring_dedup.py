@@ -308,7 +308,8 @@ def _judged(docs: DataFrame, scan: DataFrame, group: int) -> tuple[DataFrame, Da
     inside = _subtrees(carriers.where(F.col("kinds") <= group))
     inside = written(inside.unionByName(_whole_prefixes(carriers.where(F.col("kinds") > group))), "deep-nodes")
     known = kinds.select("a", "rc", F.col("p.o").alias("least"), "most").join(inside, ["a", "rc"], "left")
-    known = known.where("least < most or runs is not null").select("a", "rc", "least", "runs")
+    # written, so that the join below has nothing but its own two sides and a hot kind can be split
+    known = written(known.where("least < most or runs is not null").select("a", "rc", "least", "runs"), "known-kinds")
     places = shared.where(flagged(known, "a", "rc")).join(known, ["a", "rc"])
     whole = F.array(F.col("start"), F.col("start") + F.col("n") - 1)
     moved = F.transform("runs", lambda j: j + F.col("start"))
