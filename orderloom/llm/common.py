@@ -250,5 +250,21 @@ class Remembered(dict):
         return value
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]):
+    """What a Python worker holds from task to task; only the last named thing stays."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def forget() -> None:
+    """Let go of what earlier stages have left in this worker."""
+    _KEPT.clear()
+
+
 def crc(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF

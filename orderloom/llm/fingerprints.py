@@ -9,20 +9,23 @@ generalised Jaccard similarity of their weights, sum of minima over sum of maxim
 holds 16 bits of each sample, so 1 of 65,536 differing samples agrees as well.
 
 Null texts count as empty. Texts without words share one fingerprint of their own, like only to
-itself. Equal texts have equal fingerprints.
+itself. Equal texts have equal fingerprints. Repeated rows are documents of their own, an empty
+table gives an empty one, extra columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import WordHashes, in_ranges, map_texts, mix64, pick
+from orderloom.llm.common import WordHashes, in_ranges, kept, map_texts, mix64, pick
 
 SAMPLES = 128
 #: Words whose draws a worker remembers, 1.5 KB each, and how many of them it keeps for good.
@@ -31,6 +34,15 @@ CACHED, KEPT = 1 << 16, 3 << 14
 BLOCK = 1 << 12
 
 
+@dataclass
+class Bag:
+    """Distinct hashed words in order, how often they occur, and their values at weight 1 if held."""
+
+    terms: np.ndarray
+    counts: np.ndarray
+    once: np.ndarray | None = None
+
+
 class Sampler:
     """Draws of words and coordinates, the same in every process whatever is remembered."""
 
@@ -74,53 +86,83 @@ class Sampler:
         for table, new in zip((self.r, self.b, self.once), drawn, strict=True):
             table[at] = new[len(words) - len(at) :]
 
-    def looked_up(self, words: np.ndarray, single: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The values at weight 1 of all words, r and b of those from `single` on."""
+    def _slots(self, listed: list[int]) -> np.ndarray:
+        return np.fromiter(map(self.slots.get, listed, repeat(-1)), np.int64, len(listed))
+
+    def once_of(self, words: np.ndarray) -> np.ndarray:
+        """The values at weight 1 of hashed words."""
         listed = words.tolist()
-        slots = np.fromiter((self.slots.get(w, -1) for w in listed), np.int64, len(listed))
+        slots = self._slots(listed)
         new = np.flatnonzero(slots < 0)
-        once, r, b = self.once[slots], self.r[slots[single:]], self.b[slots[single:]]
+        once = self.once[slots]
         if len(new):
             drawn = self.draws(words[new])
             once[new] = drawn[2]
-            first = int(np.searchsorted(new, single))
-            r[new[first:] - single], b[new[first:] - single] = drawn[0][first:], drawn[1][first:]
             self.remember([listed[k] for k in new], drawn)
-        return once, r, b
+        return once
 
-    def fingerprint(self, text: str) -> np.ndarray:
+    def grids_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """r and b of hashed words."""
+        slots = self._slots(words.tolist())
+        new = np.flatnonzero(slots < 0)
+        r, b = self.r[slots], self.b[slots]
+        if len(new):
+            r[new], b[new], _ = self.draws(words[new])
+        return r, b
+
+    def bag(self, text: str) -> Bag:
         words = text.encode("utf-8").lower().split()
-        if not words:
-            return np.full(SAMPLES, 0xFFFF, np.uint16)
         hashed = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        terms, counts = np.unique(hashed, return_counts=True)
-        order = np.argsort(counts > 1, kind="stable")
-        terms, counts = terms[order], counts[order]
+        return Bag(*np.unique(hashed, return_counts=True))
+
+    def sample(self, bag: Bag, *near: Bag) -> np.ndarray:
+        """The fingerprint of a bag; words that it shares with sampled bags near it are taken from these."""
+        terms, counts = bag.terms, bag.counts
+        if not len(terms):
+            return np.full(SAMPLES, 0xFFFF, np.uint16)
         least = np.full(SAMPLES, np.inf, np.float32)
-        word, at = np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES, np.int64)
-        for k in range(0, len(terms), BLOCK):
-            some, weights = terms[k : k + BLOCK], counts[k : k + BLOCK]
-            single = int(np.searchsorted(weights > 1, True))
-            value, r, b = self.looked_up(some, single)
-            grid = np.floor(np.log(weights[single:, None].astype(np.float32)) / r + b)
-            value[single:] -= r * grid
+        word, at = np.full(SAMPLES, np.iinfo(np.uint64).max), np.zeros(SAMPLES, np.int64)
+
+        def offer(some: np.ndarray, value: np.ndarray, grid: np.ndarray | None = None) -> None:
+            # the least value, of equal ones the least word, in whatever parts they come
             best = value.argmin(axis=0)
-            found = value[best, self.columns]
-            step = np.zeros(SAMPLES, np.int64)
-            repeated = best >= single
-            step[repeated] = grid[best[repeated] - single, self.columns[repeated]]
-            less = found < least
-            least[less], word[less], at[less] = found[less], some[best[less]], step[less]
+            found, chosen = value[best, self.columns], some[best]
+            less = (found < least) | ((found == least) & (chosen <= word))
+            least[less], word[less] = found[less], chosen[less]
+            at[less] = 0 if grid is None else grid[best[less], self.columns[less]]
+
+        def take(some: np.ndarray, weights: np.ndarray, once: np.ndarray) -> None:
+            offer(some, once)
+            # more weight never gives a larger value, so the line above does no harm
+            more = np.flatnonzero(weights > 1)
+            if len(more):
+                r, b = self.grids_of(some[more])
+                grid = np.floor(np.log(weights[more, None].astype(np.float32)) / r + b)
+                offer(some[more], once[more] - r * grid, grid)
+
+        rest = np.ones(len(terms), bool)
+        for other in near:
+            if other.once is not None and len(other.terms):
+                place = np.minimum(np.searchsorted(other.terms, terms), len(other.terms) - 1)
+                shared = np.flatnonzero(rest & (other.terms[place] == terms))
+                if len(shared):
+                    take(terms[shared], counts[shared], other.once[place[shared]])
+                    rest[shared] = False
+        left = np.flatnonzero(rest)
+        for k in range(0, len(left), BLOCK):
+            some = terms[left[k : k + BLOCK]]
+            once = self.once_of(some)
+            take(some, counts[left[k : k + BLOCK]], once)
+            if len(some) == len(terms):
+                bag.once = once
         return (mix64(word + mix64(at.astype(np.uint64))) % np.uint64(0xFFFF)).astype(np.uint16)
 
-
-_SAMPLER: list[Sampler] = []
+    def fingerprint(self, text: str) -> np.ndarray:
+        return self.sample(self.bag(text))
 
 
 def sampler() -> Sampler:
-    if not _SAMPLER:
-        _SAMPLER.append(Sampler())
-    return _SAMPLER[0]
+    return kept("fingerprints", Sampler)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -196,17 +238,18 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     ordered = with_next(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = sampler().fingerprint
+        draws = sampler()
         last = None
         for batch in batches:
             out = []
             for part, head, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = of(text)
+                bag = draws.bag(text)
+                own = draws.sample(bag)
                 if last and last[0] == part:
-                    _, before_id, before, before_own = last
+                    _, before_id, before, before_own, before_bag = last
                     half = len(before) // 2
                     edited = before[: len(before) - half] + text[:half]
-                    edited_own = of(edited)
+                    edited_own = draws.sample(draws.bag(edited), before_bag, bag)
                     out.append(
                         (
                             before_id,
@@ -218,7 +261,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
                             likeness(before_own, own),
                         )
                     )
-                last = None if head else (part, doc_id, text, own)
+                last = None if head else (part, doc_id, text, own, bag)
             columns = list(zip(*out, strict=True)) or [[]] * len(schema)
             arrays = [pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
