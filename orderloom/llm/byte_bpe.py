@@ -18,7 +18,7 @@ import struct
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from orderloom.llm.common import Remembered, map_texts, pick
+from orderloom.llm.common import Remembered, kept, map_texts, pick
 from orderloom.llm.pretokens import PIECES, as_letters, over_units
 
 # field numbers and values of the sentencepiece model format, fixed
@@ -105,14 +105,9 @@ class ByteBPE:
         return b"".join(map(self.tokens.__getitem__, numbers))
 
 
-_CODERS: dict[str, ByteBPE] = {}
-
-
 def coder(path: str) -> ByteBPE:
     """One encoder per file and worker process."""
-    if path not in _CODERS:
-        _CODERS[path] = ByteBPE(path)
-    return _CODERS[path]
+    return kept(path, lambda: ByteBPE(path))
 
 
 def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:

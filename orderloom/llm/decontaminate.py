@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import ARROW, field, map_arrow, pick, written
+from orderloom.llm.common import ARROW, field, kept, map_arrow, pick, written
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Bytes of words, lower-cased; every other byte becomes a space.
@@ -90,9 +90,6 @@ def without(text: str, runs: list[int]) -> str:
     return b"".join([*out, data[at:]]).decode("utf-8")
 
 
-_BUILT: dict[tuple[str, int], Windows] = {}
-
-
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
     items = pick(benchmark, "item_id", "text").where(F.length("text") > 0).distinct()
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
@@ -121,11 +118,7 @@ def mark(
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, first=b == 0, name=uuid.uuid4().hex):
-            key = (name, window)
-            if key not in _BUILT:
-                _BUILT.clear()
-                _BUILT[key] = Windows(sent.value, window)
-            windows = _BUILT[key]
+            windows = kept(f"{name}-{window}", lambda: Windows(sent.value, window))
             for batch in batches:
                 texts = batch.column(at).to_pylist()
                 known = [] if first else [batch.column(own + 1).to_pylist(), batch.column(own + 2).to_pylist()]

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import Remembered, map_texts, pick
+from orderloom.llm.common import Remembered, kept, map_texts, pick
 from orderloom.llm.pretokens import LETTERS, PIECES, over_units
 
 NEVER = 1 << 60
@@ -179,14 +179,9 @@ class PrefixCounter:
         return done, starts[max(0, len(starts) - 2)]
 
 
-_COUNTERS: dict[str, PrefixCounter] = {}
-
-
 def counter(path: str) -> PrefixCounter:
     """One counter per file and worker process."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = PrefixCounter(path)
-    return _COUNTERS[path]
+    return kept(path, lambda: PrefixCounter(path))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
-from orderloom.llm.common import Remembered, SharedFile, in_ranges, open_shared, pick, shared
+from orderloom.llm.common import Remembered, SharedFile, in_ranges, kept, open_shared, pick, shared
 from orderloom.llm.pretokens import as_letters
 
 # the seekable format, fixed values
@@ -71,14 +71,9 @@ def _pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-_ENCODERS: dict[str, WordTokens] = {}
-
-
 def encoder(path: str) -> WordTokens:
     """One encoder per file and worker process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordTokens(path)
-    return _ENCODERS[path]
+    return kept(path, lambda: WordTokens(path))
 
 
 class SeekableWriter:

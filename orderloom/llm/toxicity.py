@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import (
     Remembered,
     filter_texts,
+    forget,
     held_out,
     learnable,
     map_texts,
@@ -50,6 +51,8 @@ LEET = {
 COST_LEET, COST_RUN, COST_DOUBLE, COST_GAP, COST_INNER = 0.5, 0.5, 4.0, 0.5, 2.0
 SIZE = 64  # symbols of the character model: 0 is a gap
 OTHER = 60
+#: Characters whose trigrams are counted in one go.
+CHARACTERS = 1 << 19
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SIGNS = re.escape("".join(LEET))
 #: A token with a letter and a sign, or with a letter three times in a row.
@@ -76,22 +79,33 @@ _TABLE: list[np.ndarray] = []
 
 
 def symbols(text: str) -> np.ndarray:
+    return _symbols_of(text.lower())
+
+
+def _symbols_of(lowered: str) -> np.ndarray:
     if not _TABLE:
         _TABLE.append(_symbols())
-    return _TABLE[0][np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
+    return _TABLE[0][np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+
+def count_trigrams(texts: list[str], counts: np.ndarray) -> None:
+    """Add the trigrams of some texts, gaps around each; few characters are widened at a time."""
+    for k in range(0, len(texts), 200):
+        whole = ("  " + "  ".join(texts[k : k + 200]) + "  ").lower()
+        for i in range(0, len(whole) - 2, CHARACTERS):
+            s = _symbols_of(whole[i : i + CHARACTERS + 2]).astype(np.int32)
+            codes = (s[:-2] * SIZE + s[1:-1]) * SIZE + s[2:]
+            counts += np.bincount(codes, minlength=SIZE**3)
 
 
 def trigram_counts(docs: DataFrame) -> np.ndarray:
     """Counts of all character trigrams of the corpus, gaps around each text: 64 x 64 x 64."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         counts = np.zeros(SIZE**3, np.int64)
         for batch in batches:
-            texts = [t for t in batch.column(0).to_pylist() if t]
-            if texts:
-                s = symbols("  " + "  ".join(texts) + "  ").astype(np.int32)
-                codes = (s[:-2] * SIZE + s[1:-1]) * SIZE + s[2:]
-                counts += np.bincount(codes, minlength=SIZE**3)
+            count_trigrams([t for t in batch.column(0).to_pylist() if t], counts)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["code", "n"])
 
