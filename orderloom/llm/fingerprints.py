@@ -18,7 +18,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,31 +27,37 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import WordHashes, in_ranges, kept, map_texts, mix64, pick
 
 SAMPLES = 128
-#: Words whose draws a worker remembers, 1.5 KB each, and how many of them it keeps for good.
-CACHED, KEPT = 1 << 16, 3 << 14
+#: Places for words whose draws a worker remembers, 1.5 KB each.
+CACHED = 1 << 17
 #: Words of a text that are looked at together.
 BLOCK = 1 << 12
 
 
 @dataclass
 class Bag:
-    """Distinct hashed words in order, how often they occur, and their values at weight 1 if held."""
+    """Hashed words, the distinct ones in order, how often they occur, and their values at weight 1
+    if held."""
 
+    words: np.ndarray
     terms: np.ndarray
     counts: np.ndarray
     once: np.ndarray | None = None
 
 
+def bag_of(words: np.ndarray) -> Bag:
+    return Bag(words, *np.unique(words, return_counts=True))
+
+
 class Sampler:
     """Draws of words and coordinates, the same in every process whatever is remembered."""
 
-    def __init__(self, cached: int = CACHED, kept: int = KEPT) -> None:
-        self.cached, self.kept = cached, kept
+    def __init__(self, cached: int = CACHED) -> None:
         self.seeds = mix64(np.arange(2 * SAMPLES, dtype=np.uint64)).reshape(2, 1, SAMPLES)
         self.r, self.b, self.once = (np.empty((cached, SAMPLES), np.float32) for _ in range(3))
-        self.slots: dict[int, int] = {}
-        self.owners: list[int] = []  # the word of each slot
-        self.next = kept
+        # the word at each place, which is its hash modulo the places; a new word takes its place
+        self.places = np.uint64(cached)
+        self.owners = np.zeros(cached, np.uint64)
+        self.owners[0] = 1  # not at place 0
         self.hashes = WordHashes()
         self.columns = np.arange(SAMPLES)
 
@@ -69,51 +74,51 @@ class Sampler:
         b = uniform(x >> np.uint64(46) ^ (y >> np.uint64(46)) << np.uint64(5))
         return r, b, log_c - r * (1 - b)
 
-    def remember(self, words: list[int], drawn: tuple[np.ndarray, ...]) -> None:
-        """The first words stay; of the others, those that came last."""
-        at = []
-        for word in words[-(self.cached - self.kept) :]:
-            if len(self.owners) < self.cached:
-                slot = len(self.owners)
-                self.owners.append(word)
-            else:
-                slot = self.next
-                self.next = slot + 1 if slot + 1 < self.cached else self.kept
-                del self.slots[self.owners[slot]]
-                self.owners[slot] = word
-            self.slots[word] = slot
-            at.append(slot)
-        for table, new in zip((self.r, self.b, self.once), drawn, strict=True):
-            table[at] = new[len(words) - len(at) :]
-
-    def _slots(self, listed: list[int]) -> np.ndarray:
-        return np.fromiter(map(self.slots.get, listed, repeat(-1)), np.int64, len(listed))
+    def _found(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of hashed words, and which of the words are not there."""
+        places = (words % self.places).astype(np.int64)
+        return places, np.flatnonzero(self.owners[places] != words)
 
     def once_of(self, words: np.ndarray) -> np.ndarray:
         """The values at weight 1 of hashed words."""
-        listed = words.tolist()
-        slots = self._slots(listed)
-        new = np.flatnonzero(slots < 0)
-        once = self.once[slots]
+        places, new = self._found(words)
+        once = self.once[places]
         if len(new):
-            drawn = self.draws(words[new])
+            drawn, at = self.draws(words[new]), places[new]
             once[new] = drawn[2]
-            self.remember([listed[k] for k in new], drawn)
+            self.owners[at] = words[new]
+            for table, values in zip((self.r, self.b, self.once), drawn, strict=True):
+                table[at] = values
         return once
 
     def grids_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """r and b of hashed words."""
-        slots = self._slots(words.tolist())
-        new = np.flatnonzero(slots < 0)
-        r, b = self.r[slots], self.b[slots]
+        places, new = self._found(words)
+        r, b = self.r[places], self.b[places]
         if len(new):
             r[new], b[new], _ = self.draws(words[new])
         return r, b
 
+    def hashed(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
+
     def bag(self, text: str) -> Bag:
+        return bag_of(self.hashed(text.encode("utf-8").lower().split()))
+
+    def edited(self, text: str, cut: int, one: tuple[str, Bag], two: tuple[str, Bag]) -> Bag:
+        """The bag of text, which is one up to the code point `cut` and then two from its start.
+
+        Only the words at the cut and at the end are new; the others are those of the bags.
+        """
         words = text.encode("utf-8").lower().split()
-        hashed = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        return Bag(*np.unique(hashed, return_counts=True))
+        if cut + 1 < len(text):
+            whole = max(0, len(one[0][:cut].encode("utf-8").split()) - 1)
+            after = max(0, len(two[0][: len(text) - cut].encode("utf-8").split()) - 2)
+            if after and whole + after + 1 < len(words):
+                middle = self.hashed(words[whole : len(words) - 1 - after])
+                parts = (one[1].words[:whole], middle, two[1].words[1 : 1 + after], self.hashed(words[-1:]))
+                return bag_of(np.concatenate(parts))
+        return bag_of(self.hashed(words))
 
     def sample(self, bag: Bag, *near: Bag) -> np.ndarray:
         """The fingerprint of a bag; words that it shares with sampled bags near it are taken from these."""
@@ -249,7 +254,8 @@ def compare_edits(docs: DataFrame) -> DataFrame:
                     _, before_id, before, before_own, before_bag = last
                     half = len(before) // 2
                     edited = before[: len(before) - half] + text[:half]
-                    edited_own = draws.sample(draws.bag(edited), before_bag, bag)
+                    edited_bag = draws.edited(edited, len(before) - half, (before, before_bag), (text, bag))
+                    edited_own = draws.sample(edited_bag, before_bag, bag)
                     out.append(
                         (
                             before_id,

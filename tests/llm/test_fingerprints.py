@@ -37,7 +37,7 @@ def test_long_texts_without_a_common_word_are_not_alike():
 def test_fingerprints_do_not_depend_on_what_is_remembered():
     texts = [sentence(k, 30 * k) + f" own{k} own{k} own{k + 1}" for k in range(1, 12)]
     texts.append(" ".join(f"w{k}" for k in range(9000)) + " w3 w8000 w8000")
-    small, large = fingerprints.Sampler(cached=40, kept=10), fingerprints.Sampler()
+    small, large = fingerprints.Sampler(cached=40), fingerprints.Sampler()
     for t in texts + texts[::-1]:
         assert np.array_equal(small.fingerprint(t), large.fingerprint(t))
 
@@ -72,3 +72,19 @@ def test_one_row_follows_itself(spark):
 def test_empty_texts_are_like_each_other_only():
     of = fingerprints.sampler().fingerprint
     assert np.array_equal(of(""), of(" \n")) and fingerprints.likeness(of(""), of("some words")) == 0
+
+
+def test_edited_texts_are_sampled_like_any_other():
+    draws, plain = fingerprints.Sampler(), fingerprints.Sampler(cached=64)
+    texts = [sentence(k, 5 * k) + " twice twice" for k in range(12)]
+    texts += ["", "x", " ", "a b", "ab", "  lead", "end  ", "x" * 99, "Größe " * 30, "one two three four", "\n1 2 3 4 5\n"]
+    for a in texts:
+        for b in texts:
+            half = len(a) // 2
+            edited = a[: len(a) - half] + b[:half]
+            bags = draws.bag(a), draws.bag(b)
+            for bag in bags:
+                draws.sample(bag)
+            bag = draws.edited(edited, len(a) - half, (a, bags[0]), (b, bags[1]))
+            assert np.array_equal(bag.words, plain.bag(edited).words), (a, b)
+            assert np.array_equal(draws.sample(bag, *bags), plain.fingerprint(edited)), (a, b)
