@@ -1,7 +1,8 @@
 """Micro-batches of landed files merged into a keyed table.
 
-The checkpoint holds the progress, so no control row is needed. No event-time state is kept:
-the keyed load absorbs replays, and the version column of a table absorbs late rows.
+The checkpoint holds the progress, so no control row is needed. Every table notes the last batch
+of a stream in the step that makes the batch visible, so a batch that runs again after a crash is
+applied once to each table. No event-time state is kept: the version column absorbs late rows.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from orderloom.schemas import BULK_RECORD, page_schema
 from orderloom.sinks.warehouse import Warehouse
 from orderloom.sources.pages import READ_MODE, unnest
 
+#: Spark's name for the id of the streaming query that runs a job.
+QUERY_ID = "sql.streaming.queryId"
+
 
 def stream_files(
     spark: SparkSession,
@@ -50,12 +54,14 @@ def upsert_stream(
     """Start loading every batch into the tables of `loads`, then stop at the end of input.
 
     `loads` maps a table to the transform that makes its rows from a raw batch. A batch that
-    is run again after a failure leaves the same tables.
+    is run again after a failure goes only to the tables it had not reached.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        # the id stays with the checkpoint, also over restarts
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or checkpoint
         for table, transform in loads.items():
-            warehouse.upsert(table, transform(batch))
+            warehouse.upsert(table, transform(batch), batch=(stream_id, batch_id))
 
     return (
         stream.writeStream.foreachBatch(load)

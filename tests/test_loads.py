@@ -1,10 +1,12 @@
 import datetime as dt
 import json
 import os
+import shutil
 
 import pytest
 from builders import customer, line, order, page, product
 from conftest import rows
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from orderloom.operators.dedup import latest_per_key, one_per_key
@@ -12,6 +14,7 @@ from orderloom.operators.profiles import key_audit, load_audit
 from orderloom.plans import backfill, nightly
 from orderloom.schemas import BULK_RECORD, TABLES, TableSpec, earlier_of, schema_of
 from orderloom.sinks.merge import merge_state, staged_rows
+from orderloom.sinks.snapshots import SnapshotLog
 from orderloom.sinks.warehouse import Warehouse
 from orderloom.sources import control
 from orderloom.streaming.incremental import stream_bulk, upsert_stream
@@ -105,28 +108,137 @@ def test_rows_move_between_months(spark, tmp_path):
     assert key_audit(w.read("t"), "k").first()["passed"]
 
 
-def test_a_crash_between_two_writes_heals(spark, tmp_path, monkeypatch):
+def crash_at(patch, at, after):
+    """Let the at-th write of a run fail, before or after its files are there; returns the count."""
+    seen = [0]
+
+    def guarded(write):
+        def run(*args, **options):
+            seen[0] += 1
+            if seen[0] == at and not after:
+                raise RuntimeError("lost")
+            done = write(*args, **options)
+            if seen[0] == at:
+                raise RuntimeError("lost")
+            return done
+
+        return run
+
+    patch.setattr(DataFrameWriter, "parquet", guarded(DataFrameWriter.parquet))
+    patch.setattr(SnapshotLog, "commit", guarded(SnapshotLog.commit))
+    patch.setattr(SnapshotLog, "delete", guarded(SnapshotLog.delete))
+    return seen
+
+
+@pytest.mark.parametrize("after", [False, True])
+def test_a_crash_at_any_write_leaves_the_old_or_the_new_table(spark, tmp_path, monkeypatch, after):
+    old = [("a", 1), ("b", 2), ("c", 3)]
+    new = [("a", 10), ("b", 2), ("c", 3), ("d", 4)]
+    w = month_table(spark, tmp_path / "0")
+    w.upsert("t", kv(spark, ("a", 0, "2025-01-05"), ("b", 2, "2026-02-05")))
+    w.upsert("t", kv(spark, ("a", 1, "2026-01-05"), ("c", 3, "2026-02-05")))
+    w.upsert("t", kv(spark, ("c", 3, "2026-02-06")))
+    batch = kv(spark, ("a", 10, "2026-02-05"), ("d", 4, "2026-03-05"))
+    at, states = 0, set()
+    while True:
+        at += 1
+        shutil.copytree(tmp_path / "0", tmp_path / str(at))
+        w = month_table(spark, tmp_path / str(at))
+        reader = w.read("t")
+        with monkeypatch.context() as patch:
+            seen = crash_at(patch, at, after)
+            try:
+                w.upsert("t", batch)
+                crashed = False
+            except RuntimeError:
+                crashed = True
+        found = pairs(w.read("t"), "k", "v")
+        assert found in (old, new)
+        assert pairs(reader, "k", "v") == old  # a reader keeps the table it began with
+        states.add(found == new)
+        if at % 3 == 2:
+            w.upsert("t", batch)
+            assert pairs(w.read("t"), "k", "v") == new
+        if not crashed:
+            break
+    assert seen[0] >= 5 and states == {False, True}
+
+
+def test_a_half_written_snapshot_is_none(spark, tmp_path):
     w = month_table(spark, tmp_path)
-    w.upsert("t", kv(spark, ("a", 1, "2026-01-05"), ("b", 2, "2026-02-05")))
+    w.upsert("t", kv(spark, ("a", 1, "2026-01-05")))
+    number = w.snapshot("t").number
+    (tmp_path / "t" / "_snapshots" / f"{number + 1:010d}.json").write_text('{"number": ')
+    assert pairs(w.read("t"), "k", "v") == [("a", 1)]
+    w.upsert("t", kv(spark, ("b", 2, "2026-01-05")))
+    assert pairs(w.read("t"), "k", "v") == [("a", 1), ("b", 2)]
 
-    def crash(table):
-        if (tmp_path / "t" / "part=2026-03").exists():
-            raise RuntimeError("lost")
 
-    with monkeypatch.context() as patch:
-        patch.setattr(w, "_settle", crash)
-        with pytest.raises(RuntimeError):
-            w.upsert("t", kv(spark, ("a", 10, "2026-03-05")))
-    assert pairs(w.read("t"), "k", "v") == [("a", 1), ("a", 10), ("b", 2)]
-    w.upsert("t", kv(spark, ("c", 3, "2026-03-06")))
-    assert pairs(w.read("t"), "k", "v") == [("a", 10), ("b", 2), ("c", 3)]
+def test_a_second_writer_fails(spark, tmp_path):
+    w = month_table(spark, tmp_path)
+    w.upsert("t", kv(spark, ("a", 1, "2026-01-05")))
+    log = SnapshotLog(spark, w.path("t"))
+    with pytest.raises(Exception, match="already exists"):
+        log.commit(w.snapshot("t"))
+    assert pairs(w.read("t"), "k", "v") == [("a", 1)]
 
 
-def test_a_crash_before_the_first_write_loses_nothing(spark, tmp_path):
+def test_old_versions_go(spark, tmp_path):
     w = month_table(spark, tmp_path)
-    w.upsert("t", kv(spark, ("a", 1, "2026-01-05")))
-    w._note_leaving("t", ["2026-01"])
-    w.upsert("t", kv(spark, ("b", 2, "2026-02-05")))
+    for v in range(6):
+        w.upsert("t", kv(spark, ("a", v, "2026-01-05"), *([("b", 1, "2026-02-05")] if not v else [])))
+    kept = {p.name for p in (tmp_path / "t").glob("loaded_by=*/part=2026-01")}
+    assert len(list((tmp_path / "t").glob("loaded_by=*/part=2026-01"))) == 3 and kept == {"part=2026-01"}
+    assert len(list((tmp_path / "t").glob("loaded_by=*/part=2026-02"))) == 1
+    assert len(list((tmp_path / "t" / "_snapshots").glob("*.json"))) == 3
+    assert pairs(w.read("t"), "k", "v") == [("a", 5), ("b", 1)]
+
+
+def test_a_small_batch_opens_only_its_index_buckets_and_months(spark, tmp_path):
+    w = month_table(spark, tmp_path)
+    many = [(f"k{n}", n, f"2026-{1 + n % 6:02d}-05") for n in range(200)]
+    w.upsert("t", kv(spark, *many))
+    index, parts = w.snapshot("t").index, w.snapshot("t").parts
+    assert len(index) == 16 and len(parts) == 6
+    wanted = w._buckets_of(kv(spark, ("k7", 0, None)).select("k"), w.snapshot("t"))
+    for b, v in index.items():
+        if b not in wanted:
+            for f in (tmp_path / "t" / "_index" / f"loaded_by={v}" / f"bucket={b}").glob("*.parquet"):
+                f.write_bytes(b"unreadable")
+    for p, v in parts.items():
+        if p not in ("2026-02", "2026-05"):
+            for f in (tmp_path / "t" / f"loaded_by={v}" / f"part={p}").glob("*.parquet"):
+                f.write_bytes(b"unreadable")
+    w.upsert("t", kv(spark, ("k7", 70, "2026-05-09")))  # from February to May
+    found = w._stored("t", parts={"2026-02", "2026-05"})
+    assert pairs(found.where("k = 'k7'"), "k", "v", "part") == [("k7", 70, "2026-05")]
+    now = w.snapshot("t")
+    assert {b for b in now.index if now.index[b] == now.number} == wanted
+    assert {p for p in now.parts if now.parts[p] == now.number} == {"2026-02", "2026-05"}
+
+
+def test_the_index_grows_with_the_table(spark, tmp_path):
+    spec = TableSpec(kv(spark).schema, ("k",), month_of="d", version="v")
+    w = Warehouse(spark, str(tmp_path), {"t": spec}, index_keys=4)
+    want = {}
+    for step in range(4):
+        some = [(f"k{n}", step * 1000 + n, f"2026-{1 + (n * 7 + step) % 9:02d}-05") for n in range(step * 20, step * 60 + 30)]
+        w.upsert("t", kv(spark, *some))
+        want.update({k: v for k, v, _ in some})
+        w.upsert("t", kv(spark, ("k1", 0, "2026-12-01")))  # older than what is stored
+    assert w.snapshot("t").index_buckets >= 64
+    assert pairs(w.read("t"), "k", "v") == sorted(want.items())
+    index = w._index("t", w.snapshot("t"), set(w.snapshot("t").index))
+    assert pairs(index, "k", "_month") == pairs(w._stored("t"), "k", "part")
+
+
+def test_a_batch_counts_once(spark, tmp_path):
+    w = month_table(spark, tmp_path)
+    assert w.upsert("t", kv(spark, ("a", 1, "2026-01-05")), batch=("s", 0))
+    assert not w.upsert("t", kv(spark, ("a", 9, "2026-01-05")), batch=("s", 0))
+    assert w.upsert("t", kv(spark), batch=("s", 1))
+    assert not w.upsert("t", kv(spark, ("a", 9, "2026-01-05")), batch=("s", 1))
+    assert w.upsert("t", kv(spark, ("b", 2, "2026-01-05")), batch=("other", 0))
     assert pairs(w.read("t"), "k", "v") == [("a", 1), ("b", 2)]
 
 
@@ -134,18 +246,18 @@ def test_fixed_months_are_not_searched(spark, tmp_path, monkeypatch):
     spec = TableSpec(kv(spark).schema, ("k",), month_of="d", month_fixed=True)
     w = Warehouse(spark, str(tmp_path), {"t": spec})
     w.upsert("t", kv(spark, ("a", 1, "2026-01-05"), ("b", 2, "2026-02-05")))
-    january = next((tmp_path / "t" / "part=2026-01").glob("*.parquet"))
+    january = next((tmp_path / "t").glob("loaded_by=*/part=2026-01/*.parquet"))
     january.write_bytes(b"unreadable")
     w.upsert("t", kv(spark, ("b", 3, "2026-02-05"), ("c", 4, "2026-02-07")))
-    assert pairs(w._stored("t").where("part = '2026-02'"), "k", "v") == [("b", 3), ("c", 4)]
+    assert pairs(w.read("t", {"2026-02"}), "k", "v") == [("b", 3), ("c", 4)]
 
 
 def test_only_touched_months_are_rewritten(spark, tmp_path):
     w = month_table(spark, tmp_path)
     w.upsert("t", kv(spark, ("a", 1, "2026-01-05"), ("b", 2, "2026-02-05")))
-    january = sorted(p.name for p in (tmp_path / "t" / "part=2026-01").glob("*.parquet"))
+    january = w.months("t")["2026-01"]
     w.upsert("t", kv(spark, ("b", 3, "2026-02-05")))
-    assert january == sorted(p.name for p in (tmp_path / "t" / "part=2026-01").glob("*.parquet"))
+    assert w.months("t")["2026-01"] == january and w.months("t")["2026-02"] > january
     assert pairs(w.read("t"), "k", "v") == [("a", 1), ("b", 3)]
 
 
