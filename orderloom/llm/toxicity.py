@@ -217,15 +217,17 @@ class Model:
     offset: float
 
 
-def fit(rows: list[tuple[int, list[int]]], terms: int, ridge: float = 0.05, steps: int = 600) -> tuple[np.ndarray, float]:
-    """Weights and offset of a ridged logistic regression on present features, by gradient steps."""
-    y = np.array([r[0] for r in rows], float)
-    row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    col = np.array([c for r in rows for c in r[1]], np.int64)
+def fit(
+    y: np.ndarray, row: np.ndarray, col: np.ndarray, terms: int, ridge: float = 0.05, steps: int = 600
+) -> tuple[np.ndarray, float]:
+    """Weights and offset of a ridged logistic regression on present features, by gradient steps.
+
+    Feature col[k] is present in row[k].
+    """
     w, b = np.zeros(terms), 0.0
     seen = np.zeros(terms), 0.0
     for _ in range(steps):
-        z = np.bincount(row, w[col], len(rows)) + b
+        z = np.bincount(row, w[col], len(y)) + b
         error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
         gw, gb = np.bincount(col, error[row], terms) + ridge * w, error.sum()
         seen = seen[0] + gw * gw, seen[1] + gb * gb
@@ -270,10 +272,16 @@ def train(
         .where("z > 2")
     )
     best = [r["term"] for r in counted.orderBy(F.desc("z"), "term").limit(terms).collect()]
-    at = F.array(*map(F.lit, best)) if best else F.array().cast("array<string>")
-    present = rows.select("y", F.array_intersect("terms", at).alias("own")).collect()
     index = {t: k for k, t in enumerate(best)}
-    w, b = fit([(r["y"], [index[t] for t in r["own"]]) for r in present], len(best))
+
+    def numbered():
+        return lambda lists: [[[index[t] for t in own if t in index] for own in lists]]
+
+    # as numbers: the driver holds 4 bytes for each term of the sample that is present
+    present = map_texts(rows, {"own": "array<int>"}, numbered, "terms", drop=("terms",)).select("y", "own").toArrow()
+    y, own = present.column("y").to_numpy().astype(float), present.column("own").combine_chunks()
+    sizes = np.diff(own.offsets.to_numpy())
+    w, b = fit(y, np.repeat(np.arange(len(y), dtype=np.int32), sizes), own.flatten().to_numpy(), len(best))
     # back from the sample's share of label 1 to the share among all labelled rows
     b += math.log(n[1] / n[0]) - math.log(size[1] / size[0])
     return Model(costs, dict(zip(best, w.tolist(), strict=True)), float(b))
