@@ -35,14 +35,13 @@ def load(
     names: Sequence[str] = ("*.csv",),
     line_ids: str = "file",
     store: str = STORE,
-    **report_options,
 ) -> B2BTables:
     """Read the named reports of a folder and load both invoice tables.
 
     The records are written once next to the tables: both loads and the rejects read them.
     """
     copy = warehouse.staging_path("b2b_records")
-    parsed = inv.report_lines(read_reports(spark, folder, names, **report_options))
+    parsed = inv.report_lines(read_reports(spark, folder, names))
     parsed.write.mode("overwrite").parquet(copy)
     records = spark.read.schema(parsed.schema).parquet(copy)
     tables = transform(records, line_ids, store)

@@ -3,13 +3,18 @@
 A report has no fixed header: title rows, group headers, transactions and subtotals share
 the same columns. The order of the rows carries meaning, so every row keeps its position:
 file, block (start of the input split) and seq (increasing inside a block).
+
+A quoted cell may hold line breaks, so where a record ends depends on all quotes before it. Every
+line is a function of the state it starts in (inside a quoted cell or not) to the state it ends in.
+Such functions are folded per split, the splits' results are carried on over the file, and then
+every line knows its state and the line its record starts at: huge files stay split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _BOM = "\ufeff"
@@ -18,6 +23,8 @@ _BOM = "\ufeff"
 # not open the cell is plain text.
 _QUOTED = '"(?:[^"]++|"")*+"'
 _CELL = f",({_QUOTED}[^,]*+|[^,]*+)"
+# a quoted cell that does not end with the line, after any number of cells that do
+_OPENED = rf'(?:,(?:{_QUOTED}[^,]*+|(?!")[^,]*+))*+,"(?:[^"]++|"")*+\z'
 
 
 def _unquoted(cell: Column) -> Column:
@@ -27,21 +34,99 @@ def _unquoted(cell: Column) -> Column:
         F.when(
             cell.rlike(rf"\A{_QUOTED}"), F.replace(inner, F.lit('""'), F.lit('"'))
         ).otherwise(
-            F.raise_error(F.lit("quoted line break in report: read it with multi_line=True"))
+            F.raise_error(F.lit("a quoted cell of the report has no end"))
         ),
     ).otherwise(cell)
 
 
 def parse_grid(lines: DataFrame, column: str) -> DataFrame:
-    """Adds `cells`, an array as wide as the line; the line itself stays as `line`.
+    """Adds `cells`, an array as wide as the record; the record itself stays as `line`.
 
-    A line that ends inside a quoted cell fails the job instead of shifting cells.
+    A record that ends inside a quoted cell fails the job instead of shifting cells.
     """
-    line = F.concat(F.lit(","), F.regexp_replace(F.col(column), f"\\A{_BOM}", ""))
+    line = _after_comma(F.col(column))
     cells = F.transform(F.regexp_extract_all(line, F.lit(_CELL), F.lit(1)), _unquoted)
     return lines.withColumn("cells", cells).withColumnRenamed(column, "line")
 
 
+def _after_comma(line: Column) -> Column:
+    return F.concat(F.lit(","), F.regexp_replace(line, f"\\A{_BOM}", ""))
+
+
+def _opens(line: Column) -> Column:
+    """Whether a line that starts outside quoted cells ends inside one."""
+    return line.contains('"') & _after_comma(line).rlike(rf"\A{_OPENED}")
+
+
+def _goes_on(line: Column) -> Column:
+    """Whether a line that starts inside a quoted cell ends inside one, be it another."""
+    return ~line.contains('"') | line.rlike(rf'\A(?:[^"]++|"")*+(?:\z|"[^,]*+{_OPENED})')
+
+
+def _run(rows: DataFrame, partition: list[str], order: str, fixed: Column, turn: Column) -> DataFrame:
+    """Adds known and state: the fold of all rows of a partition up to each one.
+
+    A row sets the state (fixed, 0 or 1), turns it (turn = 1) or leaves it. Where no row has set it,
+    known is false and state tells whether it has been turned.
+    """
+    upto = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({"_fixed": fixed, "_turns": F.sum(turn).over(upto)})
+    last = F.last(F.when(F.col("_fixed").isNotNull(), F.struct("_fixed", "_turns")), True).over(upto)
+    rows = rows.withColumn("_last", last)
+    since = F.coalesce(F.col("_last._fixed") - F.col("_last._turns"), F.lit(0)) + F.col("_turns")
+    return rows.withColumns(
+        {"known": F.col("_last").isNotNull(), "state": F.pmod(since, F.lit(2)).cast("int")}
+    ).drop("_fixed", "_turns", "_last")
+
+
+def whole_records(lines: DataFrame) -> DataFrame:
+    """Lines (value and position) joined to records, each at the position of its first line."""
+    chunk = ["file", "block"]
+    inside = Window.partitionBy(*chunk).orderBy("seq")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    of_file = Window.partitionBy("file").orderBy("block")
+    opens, goes_on = _opens(F.col("value")).cast("int"), _goes_on(F.col("value")).cast("int")
+    steps = lines.withColumns({"_a": opens, "_b": goes_on})
+    folded = _run(
+        steps, chunk, "seq",
+        F.when(F.col("_a") == F.col("_b"), F.col("_a")),
+        (F.col("_a") > F.col("_b")).cast("int"),
+    )
+    # one row per split from here on: a file starts outside of cells
+    ends = folded.groupBy(*chunk).agg(F.max_by(F.struct("known", "state"), "seq").alias("end"))
+    carried = _run(
+        ends, ["file"], "block",
+        F.when(F.col("end.known"), F.col("end.state")),
+        F.when(F.col("end.known"), 0).otherwise(F.col("end.state")),
+    )
+    carried = carried.select(*chunk, F.coalesce(F.lag("state").over(of_file), F.lit(0)).alias("_start"))
+    before = F.lag(F.struct("known", "state")).over(inside)
+    placed = folded.withColumn("_before", before).join(carried, chunk)
+    state = (
+        F.when(F.col("_before").isNull(), F.col("_start"))
+        .when(F.col("_before.known"), F.col("_before.state"))
+        .otherwise((F.col("_start") + F.col("_before.state")) % 2)
+    )
+    placed = placed.withColumn("_own", F.last(F.when(state == 0, F.col("seq")), True).over(upto))
+    lasts = placed.groupBy(*chunk).agg(F.max("_own").alias("_seq"))
+    earlier = of_file.rowsBetween(Window.unboundedPreceding, -1)
+    found = F.last(F.when(F.col("_seq").isNotNull(), F.struct("block", "_seq")), True).over(earlier)
+    owners = lasts.select(*chunk, found.alias("_owner"))
+    owned = placed.join(owners, chunk).select(
+        "file",
+        "source_file",
+        F.when(F.col("_own").isNotNull(), F.col("block")).otherwise(F.col("_owner.block")).alias("at_block"),
+        F.coalesce("_own", "_owner._seq").alias("at_seq"),
+        F.struct("block", "seq", "value").alias("part"),
+    )
+    records = owned.groupBy("file", "source_file", "at_block", "at_seq").agg(
+        F.array_join(F.array_sort(F.collect_list("part"))["value"], "\n").alias("value")
+    )
+    return records.select(
+        "value", "file", "source_file", F.col("at_block").alias("block"), F.col("at_seq").alias("seq")
+    )
+
+
 def _position() -> list[Column]:
     # the name comes as in a URI; a plus sign in it is meant literally
     name = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
@@ -53,39 +138,25 @@ def _position() -> list[Column]:
     ]
 
 
-def read_report(
-    spark: SparkSession,
-    path: str | list[str],
-    multi_line: bool = False,
-    name_filter: str | None = None,
-    max_columns: int = 256,
-) -> DataFrame:
+def read_report(spark: SparkSession, path: str | list[str], name_filter: str | None = None) -> DataFrame:
     """Grid of one or more reports; a missing path fails.
 
-    By default files are split like any text, so one huge report is read by many tasks.
-    Reports with line breaks inside quoted cells need `multi_line`, which reads each file in
-    one task and takes at most `max_columns` columns; a wider row fails the job.
+    Files are split like any text, so one huge report is read by many tasks. A first pass looks for
+    files with a cell that ends in a later line. Only their lines are shuffled, to be joined to
+    records.
     """
     reader = spark.read
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
-    if not multi_line:
-        return parse_grid(reader.text(path).select("value", *_position()), "value")
-    names = [f"c{i}" for i in range(max_columns)]
-    rows = (
-        reader.schema(", ".join(f"{n} STRING" for n in names))
-        .options(quote='"', escape='"', multiLine=True, maxColumns=max_columns)
-        .csv(path)
-        .select("*", *_position())
-    )
-    first = F.regexp_replace(F.coalesce(names[0], F.lit("")), f"\\A{_BOM}", "")
-    others = [F.coalesce(n, F.lit("")) for n in names[1:]]
-    cells = F.array(first, *others)
-    return rows.withColumns({"cells": cells, "line": F.concat_ws(",", cells)}).drop(*names)
+    lines = reader.text(path).select("value", *_position())
+    broken = lines.where(_opens(F.col("value"))).select("file").distinct()
+    if broken.isEmpty():
+        return parse_grid(lines, "value")
+    plain = lines.join(broken, "file", "left_anti")
+    joined = whole_records(lines.join(broken, "file", "left_semi"))
+    return parse_grid(plain.unionByName(joined), "value")
 
 
-def read_reports(
-    spark: SparkSession, folder: str, names: Sequence[str], **options
-) -> DataFrame:
+def read_reports(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
     """The named reports of a folder; names without a file are skipped."""
-    return read_report(spark, folder, name_filter="{" + ",".join(names) + "}", **options)
+    return read_report(spark, folder, name_filter="{" + ",".join(names) + "}")

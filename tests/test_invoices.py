@@ -1,3 +1,6 @@
+import csv
+import random
+
 import pytest
 from conftest import rows
 
@@ -20,14 +23,13 @@ Inventory,,,,,,,,,,,,,,,,,,,,,,
 
 def test_example_report(spark, tmp_path):
     (tmp_path / "april.csv").write_text(EXAMPLE, encoding="utf-8")
-    for multi_line in (False, True):
-        grid = read_report(spark, str(tmp_path / "april.csv"), multi_line=multi_line)
-        found = rows(inv.report_lines(grid), "invoice_num")
-        assert [r["product_description"] for r in found] == ["WT-7 Walnut"] * 2
-        assert [str(r["date"]) for r in found] == ["2026-04-01", "2026-04-02"]
-        assert [r["line_amount"] for r in found] == [2001.0, -2.0]
-        assert found[0]["memo"] == 'memo, "x"' and found[0]["quantity"] == 1000.5
-        assert found[0]["source_file"] == "april.csv"
+    grid = read_report(spark, str(tmp_path / "april.csv"))
+    found = rows(inv.report_lines(grid), "invoice_num")
+    assert [r["product_description"] for r in found] == ["WT-7 Walnut"] * 2
+    assert [str(r["date"]) for r in found] == ["2026-04-01", "2026-04-02"]
+    assert [r["line_amount"] for r in found] == [2001.0, -2.0]
+    assert found[0]["memo"] == 'memo, "x"' and found[0]["quantity"] == 1000.5
+    assert found[0]["source_file"] == "april.csv"
 
 
 def test_report_text_is_read_twice(spark, tmp_path):
@@ -86,10 +88,48 @@ def test_product_is_carried_across_splits(spark, tmp_path):
 def test_quoted_line_break(spark, tmp_path):
     text = EXAMPLE.replace("memo, ", "memo\n")
     (tmp_path / "r.csv").write_text(text, encoding="utf-8")
-    whole = inv.report_lines(read_report(spark, str(tmp_path), multi_line=True))
-    assert rows(whole, "invoice_num")[0]["memo"] == 'memo\n"x"'
-    with pytest.raises(Exception, match="multi_line"):
-        inv.report_lines(read_report(spark, str(tmp_path))).collect()
+    (tmp_path / "plain.csv").write_text(EXAMPLE, encoding="utf-8")
+    found = inv.report_lines(read_report(spark, str(tmp_path))).where("invoice_num = '100'").collect()
+    assert sorted(r["memo"] for r in found) == ['memo\n"x"', 'memo, "x"']
+    (tmp_path / "bad.csv").write_text(EXAMPLE + ',,,"never closed\n,,x\n', encoding="utf-8")
+    with pytest.raises(Exception, match="has no end"):
+        read_report(spark, str(tmp_path / "bad.csv")).collect()
+
+
+def random_report(rng, records):
+    """Cells of all kinds: plain, with stray quotes, quoted with commas, quotes and line breaks."""
+    inner = ["a", ",", '""', "\n", " ", '",', "b\nc", ""]
+    kinds = [
+        lambda: rng.choice(["", "x", 'in"ch', 'two""', "word word", " "]),
+        lambda: '"' + "".join(rng.choice(inner[:5] + ["b\nc", ""]) for _ in range(rng.randrange(7))) + '"',
+        lambda: '"closed"' + rng.choice(["", "x", " y"]),
+    ]
+    return "\n".join(
+        ",".join(rng.choice(kinds)() for _ in range(rng.randint(1, 6))) + ",end" for _ in range(records)
+    ) + "\n"
+
+
+def test_records_over_lines_and_splits_equal_the_whole_file(spark, tmp_path):
+    rng = random.Random(8)
+    for name in ("one.csv", "two.csv", "lines.csv"):
+        (tmp_path / name).write_text(random_report(rng, 150), encoding="utf-8")
+    # one cell over several splits, quoted lines that look like other states, and no break at all
+    (tmp_path / "long.csv").write_text('a,"' + 'b,"",c\n' * 200 + '",d\n1,2\n', encoding="utf-8")
+    (tmp_path / "plain.csv").write_text('a,"b",c"\n' * 60, encoding="utf-8")
+    want = {}
+    for path in tmp_path.iterdir():
+        with open(path, encoding="utf-8", newline="") as f:
+            want[path.name] = [r for r in csv.reader(f)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        grid = read_report(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len({(r["file"], r["block"]) for r in grid}) > 20
+    for name, records in want.items():
+        found = sorted((r for r in grid if r["source_file"] == name), key=lambda r: (r["block"], r["seq"]))
+        assert [r["cells"] for r in found] == records
 
 
 def test_stray_quote_and_short_row(spark, tmp_path):
