@@ -32,7 +32,7 @@ from orderloom.sinks.merge import merge_state, staged_rows
 from orderloom.sinks.warehouse import Warehouse
 from orderloom.sources import bulk, control
 from orderloom.sources.pages import parse_pages, read_pages, updated_since
-from orderloom.sources.report import parse_grid
+from orderloom.sources.report import parse_grid, read_report, read_reports
 from orderloom.sources.sku_map import parse_sku_map
 from orderloom.sources.stores import dim_stores
 from orderloom.streaming.incremental import stream_files, upsert_stream
@@ -291,6 +291,43 @@ def report_grid_lines(spark, folder):
     return inv.report_lines(grid).drop(*inv.POSITION, "date_text")
 
 
+def _report_name(year) -> str:
+    return f"sales {year}+lb.csv"
+
+
+def _landed_reports(spark: SparkSession, folder: str) -> str:
+    """Folder of report files, one a year; every memo is broken over two lines."""
+    path = scratch_folder(spark, "reports")
+    text = rt.report_text(spark, folder).withColumn("year", F.substring("file", 7, 4))
+    columns = ["year", "block", "seq", "value"]
+    framed = F.col("block").isin(-1, 2**60)  # title rows and grand totals, once in each file
+    lines = text.where(~framed).select(*columns).unionByName(text.where(framed).select(*columns).distinct())
+    lines = lines.withColumn("value", F.replace("value", F.lit('"said '), F.lit('"said\n')))
+    ordered = lines.repartition("year").sortWithinPartitions(*columns[:3])
+    ordered.select("year", "value").write.partitionBy("year").text(path)
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year=*/part-*")):
+        year = status.getPath().getParent().getName().removeprefix("year=")
+        fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(path, _report_name(year)))
+    return path
+
+
+@query
+def landed_report_lines(spark, folder):
+    """Reports from files named in a list; a name without a file is skipped."""
+    names = [_report_name(year) for year in range(1990, 2030)]
+    grid = read_reports(spark, _landed_reports(spark, folder), names)
+    return inv.report_lines(grid).drop(*inv.POSITION, "date_text")
+
+
+@query
+def landed_report_one(spark, folder):
+    """One report by its name."""
+    path = _landed_reports(spark, folder)
+    lines = inv.report_lines(read_report(spark, f"{path}/{_report_name(2000)}"))
+    return lines.drop(*inv.POSITION, "date_text")
+
+
 @query
 def b2b_invoices(spark, folder):
     return inv.invoices(rt.b2b_records(spark, folder))

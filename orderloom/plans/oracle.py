@@ -426,6 +426,24 @@ ORACLE_SQL = {
         FROM lineitem JOIN part ON l_partkey = p_partkey
           JOIN supplier ON l_suppkey = s_suppkey
         WHERE l_linenumber <> 7""",
+    "landed_report_lines": """
+        SELECT CAST(l_orderkey AS VARCHAR) AS invoice_num, CAST(l_shipdate AS DATE) AS date,
+          s_name AS customer_name, p_name || ' ' || p_partkey AS product_description,
+          'said' || chr(10) || '"' || p_name || '", twice' AS memo, l_quantity * 100 AS quantity,
+          'lb' AS unit_of_measure, p_retailprice AS unit_price, l_extendedprice AS line_amount,
+          'sales ' || year(l_shipdate) || '+lb.csv' AS source_file
+        FROM lineitem JOIN part ON l_partkey = p_partkey
+          JOIN supplier ON l_suppkey = s_suppkey
+        WHERE l_linenumber <> 7""",
+    "landed_report_one": """
+        SELECT CAST(l_orderkey AS VARCHAR) AS invoice_num, CAST(l_shipdate AS DATE) AS date,
+          s_name AS customer_name, p_name || ' ' || p_partkey AS product_description,
+          'said' || chr(10) || '"' || p_name || '", twice' AS memo, l_quantity * 100 AS quantity,
+          'lb' AS unit_of_measure, p_retailprice AS unit_price, l_extendedprice AS line_amount,
+          'sales ' || year(l_shipdate) || '+lb.csv' AS source_file
+        FROM lineitem JOIN part ON l_partkey = p_partkey
+          JOIN supplier ON l_suppkey = s_suppkey
+        WHERE l_linenumber <> 7 AND year(l_shipdate) = 2000""",
     "b2b_invoices": using("iv", "SELECT * FROM iv"),
     "b2b_invoice_lines": using(
         "il",
