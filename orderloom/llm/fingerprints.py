@@ -67,7 +67,8 @@ class Sampler:
 
         def uniform(bits: np.ndarray) -> np.ndarray:
             # 23 bits: with the half they fit a float, so no draw is 0 or 1
-            return ((bits & np.uint64(0x7FFFFF)).astype(np.float32) + np.float32(0.5)) / np.float32(1 << 23)
+            small = (bits & np.uint64(0x7FFFFF)).astype(np.int32).astype(np.float32)
+            return (small + np.float32(0.5)) * np.float32(2**-23)
 
         r = -np.log(uniform(x) * uniform(x >> np.uint64(23)))
         log_c = np.log(-np.log(uniform(y) * uniform(y >> np.uint64(23))))
