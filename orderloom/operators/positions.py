@@ -55,21 +55,31 @@ def dense_sequence(
 ) -> DataFrame:
     """Adds `alias`: 0-based position of each row in its group, or overall if `group` is empty.
 
-    Without a group the running total spans all chunks in one window; its input is one row
-    per chunk, not per row.
+    Running totals are taken in two levels, over the chunks of a file (all columns of `chunk`
+    but the last) and over the files of a group, so no window sees all chunks: without a group
+    the upper one has one row per file.
     """
+    file, last = list(chunk[:-1]), chunk[-1]
     sizes = df.groupBy(*group, *chunk).agg(F.count(F.lit(1)).alias("_size"))
-    earlier = (
-        Window.partitionBy(*group)
-        .orderBy(*chunk)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = sizes.select(
-        *group, *chunk, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
-    )
+
+    def before(size: str, within: Sequence[str], order: Sequence[str]) -> Column:
+        earlier = Window.partitionBy(*within).orderBy(*order)
+        earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(size).over(earlier), F.lit(0))
+
+    in_file = before("_size", [*group, *file], [last])
+    if file:
+        files = sizes.groupBy(*group, *file).agg(F.sum("_size").alias("_file_size"))
+        starts = files.select(*group, *file, before("_file_size", group, file).alias("_start"))
+        chunks = sizes.select(*group, *chunk, in_file.alias("_in_file")).join(starts, [*group, *file])
+        offset = F.col("_start") + F.col("_in_file")
+    else:
+        chunks, offset = sizes, in_file
+    names = [*group, *chunk]
+    offsets = chunks.select(*names, offset.alias("_offset"))
     inside = Window.partitionBy(*group, *chunk).orderBy(*order)
     return (
-        df.join(offsets, [*group, *chunk])
+        df.join(offsets, names)
         .withColumn(alias, F.col("_offset") + F.row_number().over(inside) - 1)
         .drop("_offset")
     )

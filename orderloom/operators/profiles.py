@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,6 +90,64 @@ def key_audit(table: DataFrame, *keys: str) -> DataFrame:
     ).withColumn("passed", F.col("total") == F.col("distinct_keys"))
 
 
+#: Sketches have 2 ** LG_CONFIG registers; their relative standard error is 1.04 / sqrt of that
+#: at most, and an estimate is off by more than four of them once in 15,000 times.
+LG_CONFIG = 14
+SKETCH_ERROR = 4 * 1.04 / 2 ** (LG_CONFIG / 2)
+
+
+def key_sketches(table: DataFrame, part: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Per partition the number of rows and a sketch of the distinct keys (16 KB at most).
+
+    Sketches merge without the rows: they can be kept with a table, and a load renews those of
+    the partitions it touched. A key with a null in it counts like others.
+    """
+    key = F.xxhash64(*(F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys))
+    return table.groupBy(*part).agg(
+        F.count(F.lit(1)).alias("rows"), F.hll_sketch_agg(key, LG_CONFIG).alias("sketch")
+    )
+
+
+def key_audits(table: DataFrame, part: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """key_audit() of each partition."""
+    per_key = table.groupBy(*part, *keys).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.groupBy(*part).agg(
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct_keys")
+    ).withColumn("passed", F.col("total") == F.col("distinct_keys"))
+
+
+def agrees(distinct: Column) -> Column:
+    """Whether estimated_keys is as near to the number of distinct keys as SKETCH_ERROR allows."""
+    return F.abs(F.col("estimated_keys") - distinct) <= F.ceil(distinct * SKETCH_ERROR)
+
+
+def sketch_audit(sketches: DataFrame, exact: DataFrame, part: Sequence[str]) -> DataFrame:
+    """Rows, estimated keys and, where `exact` has the partition, exact keys and verdict of each
+    partition, and a row with nulls for the partition that merges the sketches of all.
+
+    `within_error` tells whether the estimate agrees with the exact count; null without one.
+    """
+    each = sketches.select(*part, "rows", F.hll_sketch_estimate("sketch").alias("estimated_keys"))
+    whole = sketches.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.lit(0)).alias("estimated_keys"),
+    )
+    known = exact.select(*(F.col(c).alias(f"of_{c}") for c in part), "distinct_keys", "passed")
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in part]
+    kinds = {f.name: f.dataType for f in sketches.schema}
+    checked = each.join(known, same, "left").select(
+        *part, "rows", "estimated_keys", "distinct_keys", "passed"
+    )
+    whole = whole.select(
+        *(F.lit(None).cast(kinds[c]).alias(c) for c in part),
+        "rows",
+        "estimated_keys",
+        F.lit(None).cast("bigint").alias("distinct_keys"),
+        F.lit(None).cast("boolean").alias("passed"),
+    )
+    return checked.unionByName(whole).withColumn("within_error", agrees(F.col("distinct_keys")))
+
+
 def load_audit(before: DataFrame, after: DataFrame, *keys: str) -> DataFrame:
     """One row: totals and distinct keys before and after a load, net new rows, verdict."""
     tagged = before.select(*keys, F.lit(0).alias("is_after")).unionByName(

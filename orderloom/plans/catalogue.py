@@ -150,8 +150,8 @@ def landed_order_pages(spark, folder):
 @query
 def landed_bulk_lines(spark, folder):
     """The bulk export from files, read by the reader of exports."""
-    records = bulk.read_bulk(spark, _landed(rt.export_text(spark, folder), "export"))
-    lines = ord_.lines_of_bulk(bulk.parents(records), bulk.children(records))
+    heads, lines = bulk.read_sides(spark, _landed(rt.export_text(spark, folder), "export"))
+    lines = ord_.lines_of_bulk(heads, lines)
     return lines.select("order_id", "line_item_id", "product_title", "sku", "line_revenue")
 
 
@@ -164,15 +164,14 @@ def nested_order_lines(spark, folder):
 
 @query
 def bulk_reassemble_lines(spark, folder):
-    records = bulk.parse_bulk(rt.export_text(spark, folder), "value")
-    lines = ord_.lines_of_bulk(bulk.parents(records), bulk.children(records))
+    lines = ord_.lines_of_bulk(*bulk.parse_sides(rt.export_text(spark, folder), "value"))
     return lines.select("order_id", "line_item_id", "product_title", "sku", "line_revenue")
 
 
 @query
 def bulk_orphans(spark, folder):
-    records = bulk.parse_bulk(rt.export_text(spark, folder), "value")
-    return ord_.orphan_lines(bulk.parents(records), bulk.children(records)).select(
+    sides = bulk.parse_sides(rt.export_text(spark, folder), "value")
+    return ord_.orphan_lines(*sides).select(
         F.col("__parentId").alias("order_id"), F.col("id").alias("line_item_id"), "quantity"
     )
 
@@ -531,6 +530,21 @@ def key_audit(spark, folder):
     return profiles.key_audit(table(spark, folder, "lineitem"), *LINE_KEYS)
 
 
+@query
+def key_sketch_audit(spark, folder):
+    """Months of the order lines: a load touched those from 1997 on, which alone are counted
+    exactly; the sketches of all are merged for the whole."""
+    lines = table(spark, folder, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    sketches = profiles.key_sketches(lines, ["month"], LINE_KEYS)
+    exact = profiles.key_audits(lines.where("month >= '1997-01'"), ["month"], LINE_KEYS)
+    found = profiles.sketch_audit(sketches, exact, ["month"])
+    # the estimate for the whole is held against an exact count of its own here
+    distinct = profiles.key_audit(lines, *LINE_KEYS).select("distinct_keys").scalar()
+    whole = F.when(F.col("month").isNull(), profiles.agrees(distinct))
+    within = F.coalesce("within_error", whole).alias("within_error")
+    return found.select("month", "rows", "distinct_keys", "passed", within)
+
+
 # ---- incremental ----
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.dates import instant
@@ -51,6 +51,7 @@ class NightlyReport:
     watermark: str
     orders: int
     quality: list
+    read: dict[str, int]
 
 
 def _raw(warehouse: Warehouse, name: str, rows: DataFrame) -> DataFrame:
@@ -70,7 +71,8 @@ def run(
     """Load everything updated since the last run.
 
     The watermark moves to the moment reading began, after all loads succeeded; a failed
-    run leaves it where it was and is simply run again.
+    run leaves it where it was and is simply run again. `read` of the report tells how many orders
+    were read, kept and dropped.
     """
     settings = settings or Settings()
     started = now or datetime.now(timezone.utc)
@@ -85,12 +87,11 @@ def run(
 
     # landed pages of several fetches overlap and may repeat an entity: the latest version counts
     newest = [instant(F.col("updatedAt")).desc()]
+    updated = updated_since(landed("orders", landing.orders), since)
+    latest = one_per_key(updated, ["id"], newest)
+    seen = Observation("orders_read")  # counted while the copy is written
     raw_orders = _raw(
-        warehouse,
-        "orders",
-        one_per_key(
-            updated_since(landed("orders", landing.orders), since), ["id"], newest
-        ),
+        warehouse, "orders", ord_.observe_filter(latest, seen, settings.min_total)
     )
     raw_customers = _raw(
         warehouse,
@@ -146,4 +147,4 @@ def run(
         ("products", raw_products),
     ):
         _raw(warehouse, name, spark.createDataFrame([], raw.schema))
-    return NightlyReport(since, watermark, count, quality)
+    return NightlyReport(since, watermark, count, quality, seen.get)

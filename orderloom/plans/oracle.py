@@ -570,6 +570,15 @@ ORACLE_SQL = {
     "key_audit": """
         SELECT count(*) AS total, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_keys,
           count(*) = count(DISTINCT (l_orderkey, l_linenumber)) AS passed FROM lineitem""",
+    "key_sketch_audit": """
+        WITH lines AS (SELECT *, strftime(l_shipdate, '%Y-%m') AS month FROM lineitem)
+        SELECT month, count(*) AS rows,
+          CASE WHEN month >= '1997-01' THEN count(DISTINCT (l_orderkey, l_linenumber)) END
+            AS distinct_keys,
+          CASE WHEN month >= '1997-01'
+            THEN count(*) = count(DISTINCT (l_orderkey, l_linenumber)) END AS passed,
+          CASE WHEN month >= '1997-01' THEN TRUE END AS within_error FROM lines GROUP BY month
+        UNION ALL SELECT NULL, count(*), NULL, NULL, TRUE FROM lineitem""",
     "incremental_window": using(
         "clicks",
         "SELECT events.* FROM events, clicks WHERE ts >= since ORDER BY ts, event_id",

@@ -21,6 +21,7 @@ PARENT_COLUMNS = (
     "totalRefundedSet",
     "customer",
 )
+CHILD_KEY = r'[{,\s]"__parentId"\s*:\s*"'
 CHILD_COLUMNS = ("__parentId", "id", "title", "quantity", "variant")
 
 
@@ -37,6 +38,28 @@ def parse_bulk(texts: DataFrame, column: str) -> DataFrame:
     )
 
 
+def parse_sides(texts: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """(parents, children) of records held as text, without parsing a record for both sides.
+
+    The text tells most records apart: an unescaped key with a text value makes a child (nested
+    objects of the export have no such key), a text without that name makes a parent. Only texts
+    in between, such as a null parent id, a title that names the key or an escaped letter, are
+    parsed for both and told apart by what they hold.
+    """
+    text = F.col(column)
+    is_child = text.rlike(CHILD_KEY)
+    may_be_child = text.contains("__parentId") | text.contains("\\u00")
+    return (
+        parents(parse_bulk(texts.where(~is_child), column)),
+        children(parse_bulk(texts.where(may_be_child), column)),
+    )
+
+
+def read_sides(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """(parents, children) of an export, see parse_sides()."""
+    return parse_sides(spark.read.text(path), "value")
+
+
 def parents(records: DataFrame) -> DataFrame:
     return records.where(F.col("__parentId").isNull()).select(*PARENT_COLUMNS)
 

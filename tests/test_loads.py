@@ -350,6 +350,8 @@ def test_nightly_run(spark, tmp_path):
         "2026-03-30T00:00:00Z",
         1,
     )
+    counts = {"orders_read": 2, "zero_orders": 1, "small_orders": 0, "kept_orders": 1}
+    assert report.read == counts
     (stored,) = w.read("fact_orders").collect()
     assert (stored["order_id"], stored["customer_email"]) == ("o1", "a@x.com")
     assert pairs(w.read("fact_order_lines"), "line_item_id", "is_variable_weight") == [
@@ -435,3 +437,26 @@ def test_stream_equals_batch(spark, tmp_path):
     batch.upsert("fact_orders", fact_orders(raw))
     assert rows(streamed.read("fact_orders")) == rows(batch.read("fact_orders"))
     assert streamed.read("fact_orders").count() == 5
+
+
+def test_key_sketches_merge(spark):
+    from orderloom.operators import profiles
+
+    table = spark.range(60_000).selectExpr("concat('m', id % 3) AS m", "id div 3 AS a", "IF(id % 2 = 0, id, NULL) AS b")
+    table = table.unionByName(table.where("m = 'm1' AND a < 5000"))  # repeated keys in one partition
+    sketches = profiles.key_sketches(table, ["m"], ["a", "b"])
+    touched = profiles.key_audits(table.where("m <> 'm2'"), ["m"], ["a", "b"])
+    found = {r["m"]: r for r in profiles.sketch_audit(sketches, touched, ["m"]).collect()}
+    assert [(found[m]["rows"], found[m]["distinct_keys"], found[m]["passed"]) for m in ("m0", "m1", "m2")] == [
+        (20_000, 20_000, True),
+        (25_000, 20_000, False),
+        (20_000, None, None),
+    ]
+    assert [found[m]["within_error"] for m in ("m0", "m1", "m2", None)] == [True, True, None, None]
+    assert abs(found["m2"]["estimated_keys"] - 20_000) <= 20_000 * profiles.SKETCH_ERROR
+    distinct = table.select("a", "b").distinct().count()
+    assert found[None]["rows"] == 65_000
+    assert abs(found[None]["estimated_keys"] - distinct) <= distinct * profiles.SKETCH_ERROR
+    none = profiles.key_sketches(table.limit(0), ["m"], ["a", "b"])
+    (whole,) = profiles.sketch_audit(none, touched.limit(0), ["m"]).collect()
+    assert (whole["m"], whole["rows"], whole["estimated_keys"]) == (None, 0, 0)

@@ -1,10 +1,11 @@
 from builders import line, order
 from conftest import rows
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from orderloom.operators import orders as o
 from orderloom.schemas import BULK_RECORD, LINE_NODE, ORDER_NODE, struct, STRING
-from orderloom.sources.bulk import children, parents, read_bulk
+from orderloom.sources.bulk import CHILD_KEY, children, parents, read_bulk, read_sides
 
 
 def raw(spark, *nodes):
@@ -101,6 +102,28 @@ def test_bulk_export(spark, tmp_path):
     assert o.fact_orders(heads).count() == 3
 
 
+UNSURE = r"""
+{"id":"o4","name":"says \"__parentId\": \"o1\"","createdAt":"2026-03-02T10:00:00Z","__parentId":null}
+{"id":"o5","name":"__parentId","createdAt":"2026-03-02T10:00:00Z"}
+{"id":"l4","title":"Escaped key","quantity":1,"\u005f_parentId":"o4"}
+{ "__parentId" : "o5", "id":"l5","title":"Spaces","quantity":1}
+{"id":"o6","name":"caf\u00e9","createdAt":"2026-03-02T10:00:00Z"}
+"""
+
+
+def test_sides_of_an_export(spark, tmp_path):
+    (tmp_path / "bulk.jsonl").write_text(BULK + UNSURE)
+    records = read_bulk(spark, str(tmp_path))
+    heads, kids = read_sides(spark, str(tmp_path))
+    assert rows(heads, "id") == rows(parents(records), "id")
+    assert rows(kids, "id") == rows(children(records), "id")
+    assert [r["id"] for r in rows(heads, "id")] == ["o1", "o2", "o3", "o4", "o5", "o6"]
+    # all but the child with an escaped key are told by their text, so parsed once
+    texts = spark.read.text(str(tmp_path)).where(F.trim("value") != "")
+    sure = texts.where(F.col("value").rlike(CHILD_KEY)).count()
+    assert sure == kids.count() - 1
+
+
 def test_bad_bulk_line_fails(spark, tmp_path):
     (tmp_path / "bulk.jsonl").write_text('{"id": "o1"\n')
     try:
