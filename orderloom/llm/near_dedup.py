@@ -15,10 +15,11 @@ yet known to be connected are compared too, those of large buckets in blocks ins
 return connecting links only. So every candidate pair is either verified or connected by verified
 links, and the pairs within a group are never listed.
 
-Rows of one doc_id are one document: links of any of its texts are its links. A row without text
-or words is linked with nothing. A null doc_id takes the component of equal texts that have ids;
-without any, its component is null and it is kept. Repeated rows repeat their result; an empty
-table gives an empty one; extra columns are not returned (by `deduplicate`: kept as they are).
+Rows of one doc_id are one document: links of any of its texts are its links (`deduplicate` takes
+every row for a document of its own). A row without text or words is linked with nothing. Texts
+without an id are searched and linked like others; if no text of a component has one, its component
+is null and its rows are kept. Repeated rows repeat their result; an empty table gives an empty
+one; extra columns are not returned (by `deduplicate`: kept as they are).
 """
 
 from __future__ import annotations
@@ -90,8 +91,13 @@ def _digest(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
+def _key() -> Column:
+    """Tells texts apart without ids."""
+    return F.unhex(F.md5("text"))
+
+
 def _scan(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty), bands."""
+    """doc_id, key of the text, n_shingles, digest of the set (null if empty), bands."""
 
     def start() -> Callable[[list], list]:
         of = Shingler(size).of
@@ -108,11 +114,12 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
         return work
 
     fields = {"n_shingles": "bigint", "digest": "binary", "bands": "array<bigint>"}
-    return map_texts(pick(docs, "doc_id", "text"), fields, start, drop=("text",))
+    rows = pick(docs, "doc_id", "text").withColumn("key", _key())
+    return map_texts(rows, fields, start, drop=("text",))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """rep, mark and shingles of the wanted classes (rep, mark)."""
+    """rep and shingles of the wanted classes (rep, digest, least and key: id and text of a row)."""
 
     def start() -> Callable[[list], list]:
         of = Shingler(size).of
@@ -123,28 +130,24 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
         return work
 
-    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    texts = pick(docs, "doc_id", "text").where(flagged(ids, "doc_id"))
-    texts = texts.join(ids, "doc_id", "left_semi")
+    own = wanted.select(F.col("least").alias("i"), F.col("key").alias("k"))
+    texts = pick(docs, "doc_id", "text").withColumn("key", _key())
+    texts = texts.where(flagged(wanted.select(F.col("least").alias("doc_id"), "key"), "doc_id", "key"))
+    # of repeated rows one is enough
+    texts = texts.dropDuplicates(["doc_id", "key"])
+    same = F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k"))
+    texts = texts.join(own, same, "left_semi").select("text")
     found = map_texts(texts, {"digest": "binary", "shingles": "array<bigint>"}, start, drop=("text",))
-    found = found.select(F.col("doc_id").alias("rep"), _mark(F.col("digest")).alias("mark"), "shingles")
-    # rows of one id may hold several texts, or one text several times
-    found = found.join(wanted, ["rep", "mark"], "left_semi")
-    return found.groupBy("rep", "mark").agg(F.first("shingles").alias("shingles"))
-
-
-def _mark(digest: Column) -> Column:
-    """64 bits of a digest: tells the texts under one doc_id apart."""
-    return F.conv(F.hex(F.substring(digest, 1, 8)), 16, -10).cast("bigint")
+    return found.join(wanted.select("rep", "digest"), "digest").select("rep", "shingles")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, mu, v, mv) whose full sets are similar enough, as (u, v)."""
-    one = sets.select(F.col("rep").alias("u"), F.col("mark").alias("mu"), F.col("shingles").alias("of_u"))
-    two = sets.select(F.col("rep").alias("v"), F.col("mark").alias("mv"), F.col("shingles").alias("of_v"))
+    """The pairs (u, v) whose full sets are similar enough."""
+    one = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("of_u"))
+    two = sets.select(F.col("rep").alias("v"), F.col("shingles").alias("of_v"))
     both = F.size(F.array_intersect("of_u", "of_v"))
     either = F.size("of_u") + F.size("of_v") - both
-    joined = pairs.join(one, ["u", "mu"]).join(two, ["v", "mv"])
+    joined = pairs.join(one, "u").join(two, "v")
     return joined.where(100 * both >= percent * either).select("u", "v")
 
 
@@ -170,17 +173,17 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """bucket, rep, mark, n and lead (1 or 2 bits) of the classes that share a bucket with others.
+    """bucket, rep, n, size and lead (1 or 2 bits) of the classes that share a bucket with others.
 
     Two classes lead a bucket: the one with the most copies, as originals tend to be, and the one
     that a hash picks, another one in every band.
     """
     few = F.lit(1 << 20) - F.least(F.col("copies"), F.lit((1 << 20) - 1))
-    members = classes.select("rep", "mark", "n", few.alias("few"), F.explode("bands").alias("bucket"))
-    chance = F.xxhash64("rep", "mark", "bucket")
+    members = classes.select("rep", "n", "key", few.alias("few"), F.explode("bands").alias("bucket"))
+    chance = F.xxhash64("key", "bucket")
     members = members.withColumns(
         {"chance": chance, "turn": F.shiftleft("few", 40).bitwiseOR(F.shiftrightunsigned(chance, 24))}
-    )
+    ).drop("key", "few")
     crowded = written(
         members.groupBy("bucket")
         .agg(F.min("turn").alias("first"), F.min("chance").alias("least"), F.count("*").alias("size"))
@@ -189,21 +192,21 @@ def _buckets(classes: DataFrame) -> DataFrame:
     )
     lead = (F.col("turn") == F.col("first")).cast("int") + 2 * (F.col("chance") == F.col("least")).cast("int")
     kept = members.where(flagged(crowded, "bucket")).join(crowded, "bucket")
-    return written(kept.select("bucket", "rep", "mark", "n", "size", lead.alias("lead")), "buckets")
+    return written(kept.select("bucket", "rep", "n", "size", lead.alias("lead")), "buckets")
 
 
 def _block_links(rows: DataFrame, leaders: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) that connect the rows (bucket, rep, mark, label) of large buckets.
+    """Links (u, v) that connect the rows (bucket, rep, label) of large buckets.
 
     The members of all buckets of one leader are dealt into blocks, and every two blocks meet in
     a task of their own, which keeps to itself all pairs but those that connect something. Pairs
     whose sketches agree in less than 60 percent cannot be alike (error below 1e-6 at 0.8).
     """
-    groups = rows.join(leaders, "bucket").select("u", "mu", "rep", "mark", "label").distinct()
+    groups = rows.join(leaders, "bucket").select("u", "rep", "label").distinct()
     groups = written(groups, "groups")
-    counts = groups.groupBy("u", "mu").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = groups.join(counts, ["u", "mu"]).join(sets, ["rep", "mark"])
-    own = F.pmod(F.xxhash64("rep", "mark"), F.col("blocks")).cast("int")
+    counts = groups.groupBy("u").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = groups.join(counts, "u").join(sets, "rep")
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     dealt = dealt.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
 
@@ -235,30 +238,48 @@ def _block_links(rows: DataFrame, leaders: DataFrame, sets: DataFrame, percent:
                     out.append((reps[i], reps[j]))
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    columns = ["u", "mu", "low", "high", "own", "rep", "label", "shingles"]
-    return dealt.select(*columns).groupBy("u", "mu", "low", "high").applyInPandas(links, "u long, v long")
+    columns = ["u", "low", "high", "own", "rep", "label", "shingles"]
+    return dealt.select(*columns).groupBy("u", "low", "high").applyInPandas(links, "u long, v long")
 
 
-def _classes(docs: DataFrame, scan: DataFrame, size: int, percent: int, large: int = LARGE) -> DataFrame:
-    """digest and component of every class of equal sets whose texts have an id."""
-    known = scan.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
+def _classes(
+    docs: DataFrame, scan: DataFrame, size: int, percent: int, large: int = LARGE, by_id: bool = True
+) -> DataFrame:
+    """digest, rep, component (least rep reachable) and least (doc_id in the component, null if
+    none of its texts has one) of every class of equal sets.
+
+    Classes are numbered, so that texts without ids and several texts of one id are classes like
+    others; `by_id` links the classes of one doc_id.
+    """
+    known = scan.where(F.col("digest").isNotNull())
+    grouped = known.groupBy("digest").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("row"),
+        F.count("*").alias("copies"),
+        F.first("n_shingles").alias("n"),
+        F.first("bands").alias("bands"),
+    )
+    # the numbers are fixed by being written
     classes = written(
-        known.groupBy("digest").agg(
-            F.min("doc_id").alias("rep"),
-            F.count("*").alias("copies"),
-            F.first("n_shingles").alias("n"),
-            F.first("bands").alias("bands"),
+        grouped.select(
+            "digest",
+            F.col("row.doc_id").alias("least"),
+            F.col("row.key").alias("key"),
+            "copies",
+            "n",
+            "bands",
+            F.monotonically_increasing_id().alias("rep"),
         ),
         "classes",
-    ).withColumn("mark", _mark(F.col("digest")))
+    )
     buckets = _buckets(classes)
-    one = buckets.select("bucket", F.col("rep").alias("u"), F.col("mark").alias("mu"), F.col("n").alias("nu"), "lead")
-    two = buckets.select("bucket", F.col("rep").alias("v"), F.col("mark").alias("mv"), F.col("n").alias("nv"))
+    one = buckets.select("bucket", F.col("rep").alias("u"), F.col("n").alias("nu"), "lead")
+    two = buckets.select("bucket", F.col("rep").alias("v"), F.col("n").alias("nv"))
     enough = F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent
-    other = (F.col("u") != F.col("v")) | (F.col("mu") != F.col("mv"))
-    names = ("u", "mu", "v", "mv")
-    stars = one.where("lead > 0").join(two, "bucket").where(enough & other).select(*names).distinct()
-    sets = written(_sets(docs, buckets.select("rep", "mark").distinct(), size), "sets")
+    other = F.col("u") != F.col("v")
+    stars = one.where("lead > 0").join(two, "bucket").where(enough & other).select("u", "v").distinct()
+    wanted = buckets.select("rep").distinct()
+    wanted = written(classes.select("rep", "digest", "least", "key").join(wanted, "rep", "left_semi"), "wanted")
+    sets = written(_sets(docs, wanted, size), "sets")
     linked = written(_verified(stars, sets, percent), "star-links")
     # a class takes the least leader it is linked with, then that one's: equal labels are connected
     label = linked.groupBy(F.col("v").alias("rep")).agg(F.min("u").alias("label"))
@@ -271,66 +292,68 @@ def _classes(docs: DataFrame, scan: DataFrame, size: int, percent: int, large: i
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     rest = written(placed.join(mixed.where("low != high").select("bucket"), "bucket", "left_semi"), "rest")
     small = rest.where(F.col("size") <= large)
-    one = small.select("bucket", F.col("rep").alias("u"), F.col("mark").alias("mu"), F.col("n").alias("nu"), F.col("label").alias("lu"))
-    two = small.select("bucket", F.col("rep").alias("v"), F.col("mark").alias("mv"), F.col("n").alias("nv"), F.col("label").alias("lv"))
-    pairs = one.join(two, "bucket").where((F.col("lu") < F.col("lv")) & enough).select(*names).distinct()
+    one = small.select("bucket", F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"))
+    two = small.select("bucket", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"))
+    pairs = one.join(two, "bucket").where((F.col("lu") < F.col("lv")) & enough).select("u", "v").distinct()
     leaders = buckets.where(F.col("lead").bitwiseAND(F.lit(1)) == 1)
-    leaders = leaders.groupBy("bucket").agg(F.min(F.struct("rep", "mark")).alias("l"))
-    leaders = leaders.select("bucket", F.col("l.rep").alias("u"), F.col("l.mark").alias("mu"))
-    crowds = rest.where(F.col("size") > large).select("bucket", "rep", "mark", "label")
+    leaders = leaders.groupBy("bucket").agg(F.min("rep").alias("u"))
+    crowds = rest.where(F.col("size") > large).select("bucket", "rep", "label")
     linked = linked.unionByName(_verified(pairs, sets, percent))
     linked = linked.unionByName(_block_links(crowds, leaders, sets, percent))
-    # several texts of one id belong together
-    reps = known.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest")
-    same = reps.groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v"))
-    repeated = written(same.where("u != v").select("doc_id"), "repeated-ids")
-    more = reps.join(repeated, "doc_id", "left_semi")
-    linked = linked.unionByName(more.select(F.col("rep").alias("u"), F.col("doc_id").alias("v")))
+    if by_id:
+        # several texts of one id belong together
+        reps = known.where(F.col("doc_id").isNotNull()).select("doc_id", "digest")
+        reps = reps.join(classes.select("digest", "rep"), "digest")
+        same = reps.groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v"))
+        repeated = written(same.where("u != v").select("doc_id", "u"), "repeated-ids")
+        linked = linked.unionByName(reps.join(repeated, "doc_id").select("u", F.col("rep").alias("v")))
     found = components(linked).withColumnRenamed("node", "rep")
-    named = classes.select("digest", "rep").join(found, "rep", "left")
-    return written(named.select("digest", F.coalesce("component", "rep").alias("component")), "named-classes")
+    found = classes.select("rep", F.col("least").alias("own")).join(found, "rep")
+    ids = found.groupBy("component").agg(F.min("own").alias("shared"))
+    found = found.join(ids, "component").select("rep", "component", "shared")
+    named = classes.select("digest", "rep", "least").join(found, "rep", "left")
+    alone = F.col("component").isNull()
+    least = F.when(alone, F.col("least")).otherwise(F.col("shared"))
+    return written(
+        named.select("digest", "rep", F.coalesce("component", "rep").alias("component"), least.alias("least")),
+        "named-classes",
+    )
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, large: int = LARGE) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable) and kept of every row."""
     scan = written(_scan(docs, shingle), "scan")
     named = _classes(docs, scan, shingle, percent, large)
-    rows = scan.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component"))
+    rows = scan.select("doc_id", "n_shingles", "digest").join(named.select("digest", "least"), "digest", "left")
+    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("least"))
     return rows.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
 
-def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each component; of repeated rows of an id the least is kept."""
-    scan = written(_scan(docs, shingle), "scan")
-    named = _classes(docs, scan, shingle, percent)
-    # empty texts are linked with nothing
-    keep = scan.select("doc_id", "digest").join(named, "digest", "left")
-    keep = keep.where(F.col("digest").isNull() | F.col("doc_id").eqNullSafe(F.col("component")))
-    key, names = "__doc_id", list(docs.columns)
-    at = names.index("doc_id")
-    plain = docs.toDF(*(key if i == at else f"__c{i}" for i in range(len(names))))
-    ids = keep.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(key)).distinct()
-    with_id = plain.join(ids, key, "left_semi").groupBy(key).agg(
-        F.min(F.struct(*(c for c in plain.columns if c != key))).alias("r")
-    )
-    fields = [F.col(key) if c == key else F.col(f"r.{c}") for c in plain.columns]
-    without = plain.where(F.col(key).isNull())
-    rest = _digests(plain.where(F.col(key).isNull()), f"__c{names.index('text')}", shingle)
-    rest = rest.join(named, rest["__digest"] == named["digest"], "left_anti")
-    once = rest.where(F.col("__digest").isNotNull()).groupBy("__digest")
-    once = once.agg(F.min(F.struct(*plain.columns)).alias("r")).select("r.*")
-    empty = rest.where(F.col("__digest").isNull()).select(*plain.columns)
-    return with_id.select(*fields).unionByName(once).unionByName(empty).toDF(*names)
-
+def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80, large: int = LARGE) -> DataFrame:
+    """docs with one row of each component: of the rows with its least doc_id (without an id only
+    if no row of it has one) one of the least text key, of repeated rows the least.
 
-def _digests(rows: DataFrame, column: str, size: int) -> DataFrame:
-    """rows with the digest of the set of each text."""
-
-    def start() -> Callable[[list], list]:
-        of = Shingler(size).of
-        return lambda texts: [[_digest(of(t)) for t in texts]]
-
-    return map_texts(rows, {"__digest": "binary"}, start, column)
+    Here a row is a document of its own: unlike texts all stay, also under one doc_id or without
+    ids, and so do all rows without words.
+    """
+    scan = written(_scan(docs, shingle), "scan")
+    named = _classes(docs, scan, shingle, percent, large, by_id=False)
+    first = F.col("doc_id").eqNullSafe(F.col("least"))
+    rows = scan.select("doc_id", "key", "digest").join(named, "digest")
+    chosen = rows.where(first).groupBy("component").agg(F.min("key").alias("key"), F.first("least").alias("least"))
+    names = list(docs.columns)
+    at, text = names.index("doc_id"), names.index("text")
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    keyed = plain.withColumn("key", F.unhex(F.md5(f"c{text}")))
+    chosen = written(chosen, "chosen")
+    found = keyed.where(flagged(chosen, "key")).join(chosen, "key")
+    found = found.where(F.col(f"c{at}").eqNullSafe(F.col("least")))
+    kept = found.groupBy("component").agg(F.min(F.struct(*plain.columns)).alias("r")).select("r.*")
+    # rows without words are linked with nothing
+    empty = scan.where(F.col("digest").isNull() & F.col("key").isNotNull()).select("key").distinct()
+    empty = written(empty, "texts-without-words")
+    bare = keyed.where(flagged(empty, "key")).join(empty, "key", "left_semi").drop("key")
+    bare = bare.unionByName(plain.where(F.col(f"c{text}").isNull()))
+    return kept.unionByName(bare).toDF(*names)

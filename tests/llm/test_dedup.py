@@ -178,11 +178,46 @@ def test_near_duplicates_stand_edge_cases(spark):
     kept = near_dedup.deduplicate(docs, shingle=4)
     assert kept.columns == docs.columns
     ids = [r[1] for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == [-8, 1, 2, 3, 4, 5, 6, 7, 9, 20]
+    # unlike texts of one id all stay
+    assert sorted(i for i in ids if i is not None) == [-8, 1, 2, 3, 4, 5, 6, 7, 9, 9, 9, 20]
     assert ids.count(None) == 2
+    assert near_dedup.deduplicate(docs.limit(0)).count() == 0
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("large", [32, 1])
+def test_one_row_of_each_component_stays(spark, large, monkeypatch):
+    """Rows of few ids and without ids, unlike texts of one id among them, against brute force."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 5)
+    pick = random.Random(5)
+    rows = [(pick.choice((None, i % 9, i)), t) for i, t in near_rows(7, 110)]
+    rows += [rows[3], rows[3], (None, ""), (4, None), (4, " "), (4, " ")]
+    sets = {n: own for n, (_, own) in shingle_sets(rows, 5).items()}
+    group = {n: n for n in sets}
+    for a in sets:
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                old, new = group[a], group[b]
+                group = {n: new if g == old else g for n, g in group.items()}
+    kept = [(r[1], r[3]) for r in near_dedup.deduplicate(documents(spark, rows).repartition(3), large=large).collect()]
+    of_text = {t: g for (_, t), g in zip(rows, group.values(), strict=True)}
+    found = sorted(of_text[t] for _, t in kept if (t or "").strip())
+    wanted = sorted({g for n, g in group.items() if sets[n]})
+    assert found == wanted and len(wanted) > 12
+    for i, t in kept:
+        if (t or "").strip():
+            ids = [j for n, (j, _) in enumerate(rows) if group[n] == of_text[t] and j is not None]
+            assert (i, t) in rows and i == (min(ids) if ids else None)
+    assert sum(not (t or "").strip() for _, t in kept) == 4
+
+
+def test_near_copies_without_ids_are_found(spark):
+    words = [f"w{k}" for k in range(200)]
+    rows = [(None, " ".join(words)), (None, " ".join([*words[:90], "other", *words[91:]])), (None, "unlike")]
+    kept = near_dedup.deduplicate(documents(spark, rows)).collect()
+    assert len(kept) == 2 and "unlike" in [r[3] for r in kept]
+
+
 def test_every_coordinate_of_a_sketch_fills():
     shingler = near_dedup.Shingler(4)
     sets = [shingler.of(sentence(k, n)) for k, n in ((1, 1), (2, 5), (3, 60), (4, 2000))]
