@@ -73,9 +73,10 @@ def _frequency(n: str, known: Column | None = None) -> list[Column]:
     ]
 
 
-def _online_orders(orders: DataFrame, who: str) -> DataFrame:
-    """Totals and customer counts in one pass: first per customer, then overall."""
+def customer_totals(orders: DataFrame, *by: str, who: str = "customer_email") -> DataFrame:
+    """Number of orders and amounts per customer (`who`, null for none) and `by`."""
     amounts = orders.select(
+        *by,
         identity(who).alias("who"),
         money_or_zero(F.col("total_revenue")).alias("net"),
         (money_or_zero(F.col("subtotal")) + money_or_zero(F.col("discount_amount")))
@@ -84,25 +85,17 @@ def _online_orders(orders: DataFrame, who: str) -> DataFrame:
         money_or_zero(F.col("discount_amount")).alias("discounts"),
         money_or_zero(F.col("refund_amount")).alias("refunds"),
     )
-    per_customer = amounts.groupBy("who").agg(
+    return amounts.groupBy(*by, "who").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(c).alias(c) for c in ("net", "gross", "discounts", "refunds")],
     )
-    return per_customer.agg(
-        _sum("n").cast("bigint").alias("online_orders"),
-        _sum("net").alias("online_net"),
-        _sum("gross").alias("online_gross"),
-        _sum("discounts").alias("online_discount_sum"),
-        _sum("refunds").alias("online_refund_sum"),
-        *_frequency("n", F.col("who").isNotNull()),
-    )
 
 
 def _ranked_totals(
-    df: DataFrame, name: Column, first_seen: str | None, amount: str, quantity: str
+    df: DataFrame, by: tuple[str, ...], name: Column, first_seen: str | None, amount: str, quantity: str
 ) -> DataFrame:
     seen = [F.min(first_seen).alias("first_seen")] if first_seen else []
-    return df.groupBy(name.alias("name")).agg(
+    return df.groupBy(*by, name.alias("name")).agg(
         F.sum(money_or_zero(F.col(amount))).alias("revenue"),
         F.sum(money_or_zero(F.col(quantity))).alias("quantity"),
         F.count(F.lit(1)).alias("n"),
@@ -110,6 +103,23 @@ def _ranked_totals(
     )
 
 
+def product_totals(lines: DataFrame, *by: str, first_seen: str | None = None) -> DataFrame:
+    """Revenue, quantity and number of lines per product (`name`) and `by`."""
+    return _ranked_totals(lines, by, product_name(), first_seen, "line_revenue", "quantity")
+
+
+def account_totals(invoices: DataFrame, *by: str, first_seen: str | None = None) -> DataFrame:
+    """Revenue, quantity and number of invoices per B2B customer (`name`) and `by`."""
+    name = F.col("customer_name")
+    return _ranked_totals(invoices, by, name, first_seen, "total_amount", "total_quantity")
+
+
+def merged_totals(parts: DataFrame, key: str) -> DataFrame:
+    """Totals per key from totals per key and whatever else; the earliest place of each counts."""
+    folds = {c: F.min if c == "first_seen" else F.sum for c in parts.columns if c != key}
+    return parts.groupBy(key).agg(*[fold(c).alias(c) for c, fold in folds.items()])
+
+
 def product_name() -> Column:
     return first_filled(F.col("product_title"), default="Unknown")
 
@@ -132,15 +142,29 @@ def channel_summary(
     Each input is read once and folded to one row; the rows are then laid over each other.
     `line_seen` and `invoice_seen` order products and customers of equal revenue.
     """
-    online = _online_orders(orders, who)
-    per_product = _ranked_totals(lines, product_name(), line_seen, "line_revenue", "quantity")
+    return channel_figures(
+        customer_totals(orders, who=who),
+        product_totals(lines, first_seen=line_seen),
+        account_totals(invoices, first_seen=invoice_seen),
+    )
+
+
+def channel_figures(
+    per_customer: DataFrame, per_product: DataFrame, per_account: DataFrame
+) -> DataFrame:
+    """The figures of channel_summary() from totals per customer, product and B2B customer."""
+    online = per_customer.agg(
+        _sum("n").cast("bigint").alias("online_orders"),
+        _sum("net").alias("online_net"),
+        _sum("gross").alias("online_gross"),
+        _sum("discounts").alias("online_discount_sum"),
+        _sum("refunds").alias("online_refund_sum"),
+        *_frequency("n", F.col("who").isNotNull()),
+    )
     products = per_product.agg(
         _sum("quantity").cast("bigint").alias("online_units"),
         best_of(per_product).alias("best_product"),
     )
-    per_account = _ranked_totals(
-        invoices, F.col("customer_name"), invoice_seen, "total_amount", "total_quantity"
-    )
     accounts = per_account.agg(
         _sum("n").cast("bigint").alias("b2b_invoices"),
         _sum("revenue").alias("b2b_sum"),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,17 @@ from orderloom.operators.customers import addresses, dim_customers
 from orderloom.operators.dedup import one_per_key
 from orderloom.operators.products import dim_products
 from orderloom.operators.quality import qa_report
-from orderloom.operators.summary import channel_summary, summary_row
+from orderloom.operators.summary import (
+    account_totals,
+    channel_figures,
+    customer_totals,
+    merged_totals,
+    product_totals,
+    summary_row,
+)
 from orderloom.plans import b2b
-from orderloom.sinks.warehouse import Warehouse
+from orderloom.sinks.rollups import refresh
+from orderloom.sinks.warehouse import PART, Warehouse
 from orderloom.sources import control
 from orderloom.sources.pages import read_pages, updated_since
 from orderloom.sources.sku_map import empty_sku_map, read_sku_map
@@ -61,6 +70,20 @@ def _raw(warehouse: Warehouse, name: str, rows: DataFrame) -> DataFrame:
     return warehouse.spark.read.schema(rows.schema).parquet(path)
 
 
+def monthly_figures(warehouse: Warehouse, who: str = "customer_email") -> DataFrame:
+    """channel_summary() of the stored facts; only months loaded since the last call are read."""
+
+    def totals(table: str, name: str, key: str, fold: Callable[..., DataFrame]) -> DataFrame:
+        kept, _ = refresh(warehouse, table, name, fold)
+        return merged_totals(kept.drop(PART), key)
+
+    return channel_figures(
+        totals("fact_orders", f"by_{who}", "who", partial(customer_totals, who=who)),
+        totals("fact_order_lines", "by_product", "name", product_totals),
+        totals("fact_b2b_invoices", "by_account", "name", account_totals),
+    )
+
+
 def run(
     spark: SparkSession,
     warehouse: Warehouse,
@@ -126,11 +149,7 @@ def run(
             spark, warehouse, landing.reports, landing.report_names, store=settings.store
         )
 
-    figures = channel_summary(
-        warehouse.read("fact_orders"),
-        warehouse.read("fact_order_lines"),
-        warehouse.read("fact_b2b_invoices"),
-    )
+    figures = monthly_figures(warehouse)
     run_at = F.lit(started.strftime("%Y-%m-%dT%H:%M:%SZ")).cast("timestamp")
     warehouse.upsert(
         "pipeline_summary",

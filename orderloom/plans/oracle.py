@@ -494,6 +494,7 @@ ORACLE_SQL = {
         f"SELECT name AS product_title, {dbl('revenue')} AS revenue FROM per_product",
     ),
     "channel_summary": using("figures", "SELECT * FROM figures"),
+    "channel_summary_by_month": using("figures", "SELECT * FROM figures"),
     "summary_text": using(
         "figures",
         f"""SELECT 'combined' AS summary_id, 'main_store' AS store,

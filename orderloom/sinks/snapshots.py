@@ -26,6 +26,7 @@ class Snapshot:
     index: dict[str, int] = field(default_factory=dict)  # bucket of the key index likewise
     index_buckets: int = 0
     applied: dict[str, int] = field(default_factory=dict)  # stream to its last batch
+    source: dict[str, int] = field(default_factory=dict)  # of a roll-up: the partitions it has seen
 
     def next(self, number: int, **changes) -> Snapshot:
         return replace(self, number=number, **changes)

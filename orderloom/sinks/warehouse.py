@@ -51,12 +51,12 @@ class Warehouse:
     def _index_path(self, table: str) -> str:
         return f"{self.path(table)}/_index"
 
-    def _log(self, table: str) -> SnapshotLog:
+    def log(self, table: str) -> SnapshotLog:
         return SnapshotLog(self.spark, self.path(table))
 
     def snapshot(self, table: str) -> Snapshot:
         """What the table consists of now."""
-        return next(iter(self._log(table).latest()), Snapshot())
+        return next(iter(self.log(table).latest()), Snapshot())
 
     def _stored_schema(self, table: str) -> T.StructType:
         """Declared columns, then the version column if the table does not declare it."""
@@ -83,7 +83,7 @@ class Warehouse:
 
     def create(self, table: str) -> None:
         """Create the table if it is not there; an existing one stays as it is."""
-        log = self._log(table)
+        log = self.log(table)
         if not log.latest():
             log.commit(Snapshot(log.free_number()))
 
@@ -91,7 +91,7 @@ class Warehouse:
         for table in self.tables:
             self.create(table)
 
-    def _files(self, base: str, schema: T.StructType, column: str, live: dict[str, int]) -> DataFrame:
+    def files(self, base: str, schema: T.StructType, column: str, live: dict[str, int]) -> DataFrame:
         """The folders loaded_by=…/column=… of the live partitions."""
         if not live:
             return self.spark.createDataFrame([], schema)
@@ -104,12 +104,16 @@ class Warehouse:
         live = (snapshot or self.snapshot(table)).parts
         if parts is not None:
             live = {p: v for p, v in live.items() if p in parts}
-        return self._files(self.path(table), self._layout_schema(table), PART, live)
+        return self.files(self.path(table), self._layout_schema(table), PART, live)
 
     def read(self, table: str, months: set[str] | None = None) -> DataFrame:
         """The table with its declared columns, of some months only if these are given."""
         return self._stored(table, parts=months).select(*self.tables[table].schema.names)
 
+    def partitions(self, table: str, snapshot: Snapshot, parts: set[str]) -> DataFrame:
+        """Some partitions of a snapshot, with their names in the column PART."""
+        return self._stored(table, snapshot, parts)
+
     def months(self, table: str) -> dict[str, int]:
         """The partitions of the table and the version each was last written by."""
         return dict(self.snapshot(table).parts)
@@ -141,7 +145,7 @@ class Warehouse:
         stream and the number of its batch: it is noted in the same step that makes the rows
         visible, and a batch that is noted already is left out (False).
         """
-        spec, log = self.tables[table], self._log(table)
+        spec, log = self.tables[table], self.log(table)
         keys = list(spec.keys)
         self.create(table)
         snapshot = log.latest()[0]
@@ -214,7 +218,7 @@ class Warehouse:
 
     def _index(self, table: str, snapshot: Snapshot, buckets: set[str]) -> DataFrame:
         live = {b: v for b, v in snapshot.index.items() if b in buckets}
-        return self._files(self._index_path(table), self._index_schema(table), BUCKET, live)
+        return self.files(self._index_path(table), self._index_schema(table), BUCKET, live)
 
     def _reindexed(
         self, table: str, old: Snapshot, new: Snapshot, keys: DataFrame, buckets: set[str], written: set[str]
@@ -243,7 +247,7 @@ class Warehouse:
         rows = rest.unionByName(now).withColumn(BUCKET, self._bucket(names, count))
         folder = f"{self._index_path(table)}/{VERSION}={new.number}"
         rows.repartition(BUCKET).write.partitionBy(BUCKET).parquet(folder)
-        made = {n.partition("=")[2] for n in self._log(table).children(folder) if n.startswith(f"{BUCKET}=")}
+        made = {n.partition("=")[2] for n in self.log(table).children(folder) if n.startswith(f"{BUCKET}=")}
         kept = {} if grow else {b: v for b, v in old.index.items() if b not in buckets}
         return new.next(new.number, index=kept | dict.fromkeys(made, new.number), index_buckets=count)
 
@@ -251,7 +255,7 @@ class Warehouse:
 
     def vacuum(self, table: str, keep: int = KEPT_VERSIONS) -> None:
         """Delete what none of the last `keep` versions holds."""
-        log = self._log(table)
+        log = self.log(table)
         snapshots = log.latest(keep)
         if not snapshots:
             return

@@ -13,7 +13,9 @@ from orderloom.operators.dedup import latest_per_key, one_per_key
 from orderloom.operators.profiles import key_audit, load_audit
 from orderloom.plans import backfill, nightly
 from orderloom.schemas import BULK_RECORD, TABLES, TableSpec, earlier_of, schema_of
+from orderloom.operators.summary import account_totals, merged_totals
 from orderloom.sinks.merge import merge_state, staged_rows
+from orderloom.sinks.rollups import refresh
 from orderloom.sinks.snapshots import SnapshotLog
 from orderloom.sinks.warehouse import Warehouse
 from orderloom.sources import control
@@ -398,6 +400,38 @@ EXPORT = [
 ]
 
 
+def test_rollups_read_changed_months_only(spark, tmp_path):
+    spec = TableSpec(TABLES["fact_b2b_invoices"].schema, ("invoice_id",), month_of="date")
+    w = Warehouse(spark, str(tmp_path), {"invoices": spec})
+
+    def load(*items):
+        rows_ = [(i, dt.date.fromisoformat(d), c, a, 1.0) for i, d, c, a in items]
+        schema = "invoice_id string, date date, customer_name string, total_amount double, total_quantity double"
+        w.upsert("invoices", spark.createDataFrame(rows_, schema))
+
+    def figures():
+        kept, read = refresh(w, "invoices", "by_account", account_totals)
+        found = merged_totals(kept.drop("part"), "name")
+        whole = account_totals(w.read("invoices"))
+        assert pairs(found) == pairs(whole.select(*found.columns))
+        return read
+
+    w.create("invoices")
+    assert figures() == set()
+    load(("1", "2026-01-03", "A", 10.1), ("2", "2026-02-03", "A", 0.2), ("3", "2026-02-09", "B", 5.0))
+    assert figures() == {"2026-01", "2026-02"}
+    assert figures() == set()
+    load(("4", "2026-03-01", "B", 2.5), ("3", "2026-03-02", "B", 6.0))
+    assert figures() == {"2026-02", "2026-03"}
+    # the last invoice leaves its month, which goes
+    load(("1", "2026-03-04", "A", 10.1))
+    assert figures() == {"2026-03"} and "2026-01" not in w.months("invoices")
+    # a load cut off before its snapshot changes nothing, nor does a refresh cut off
+    (tmp_path / "invoices_by_account" / "loaded_by=99").mkdir()
+    load(("5", "2026-02-20", "C", 1.0))
+    assert figures() == {"2026-02"}
+
+
 def test_backfill_twice(spark, tmp_path):
     (tmp_path / "bulk").mkdir()
     (tmp_path / "bulk" / "a.jsonl").write_text("\n\n".join(json.dumps(r) for r in EXPORT))
