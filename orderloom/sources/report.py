@@ -79,12 +79,9 @@ def _run(rows: DataFrame, partition: list[str], order: str, fixed: Column, turn:
     ).drop("_fixed", "_turns", "_last")
 
 
-def whole_records(lines: DataFrame) -> DataFrame:
-    """Lines (value and position) joined to records, each at the position of its first line."""
+def _placed(lines: DataFrame) -> DataFrame:
+    """Lines with begins_0 and begins_1: the state each begins in if its split begins in 0 or in 1."""
     chunk = ["file", "block"]
-    inside = Window.partitionBy(*chunk).orderBy("seq")
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    of_file = Window.partitionBy("file").orderBy("block")
     opens, goes_on = _opens(F.col("value")).cast("int"), _goes_on(F.col("value")).cast("int")
     steps = lines.withColumns({"_a": opens, "_b": goes_on})
     folded = _run(
@@ -92,47 +89,80 @@ def whole_records(lines: DataFrame) -> DataFrame:
         F.when(F.col("_a") == F.col("_b"), F.col("_a")),
         (F.col("_a") > F.col("_b")).cast("int"),
     )
+    before = F.lag(F.struct("known", "state")).over(Window.partitionBy(*chunk).orderBy("seq"))
+    placed = folded.withColumn("_before", before)
+
+    def begins(start: int) -> Column:
+        turned = F.pmod(F.lit(start) + F.col("_before.state"), F.lit(2))
+        known = F.when(F.col("_before.known"), F.col("_before.state")).otherwise(turned)
+        return F.when(F.col("_before").isNull(), start).otherwise(known)
+
+    made = {"begins_0": begins(0), "begins_1": begins(1)}
+    return placed.withColumns(made).drop("_a", "_b", "_before")
+
+
+def _pieces(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """The lines of every record in one split as one text, by the place of its first line, own; null
+    for those that go on with a record of an earlier split."""
+    upto = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    placed = _placed(lines).join(splits.select("file", "block", "start"), ["file", "block"])
+    begins = F.when(F.col("start") == 0, F.col("begins_0")).otherwise(F.col("begins_1"))
+    placed = placed.withColumn("begins", begins)
+    own = F.last(F.when(F.col("begins") == 0, F.col("seq")), True).over(upto)
+    parts = placed.withColumn("own", own).groupBy("file", "block", "own")
+    text = F.array_join(F.array_sort(F.collect_list(F.struct("seq", "value")))["value"], "\n")
+    return parts.agg(text.alias("value"))
+
+
+def whole_records(lines: DataFrame) -> DataFrame:
+    """Lines (value and position) joined to records, each at the position of its first line.
+
+    The lines are shuffled once, by split: all steps on lines keep to it, and so may later ones. What
+    passes from split to split is one row for each, and the text of records that do so.
+    """
+    chunk = ["file", "block"]
+    of_file = Window.partitionBy("file").orderBy("block")
+    # one and the same shuffle serves all passes below, so each takes these columns
+    lines = lines.select("value", *chunk, "seq").repartition(*chunk)
+    ends = _placed(lines).groupBy(*chunk).agg(
+        F.max_by(F.struct("known", "state"), "seq").alias("end"),
+        *(F.max(F.when(F.col(f"begins_{s}") == 0, F.col("seq"))).alias(f"last_{s}") for s in (0, 1)),
+    )
     # one row per split from here on: a file starts outside of cells
-    ends = folded.groupBy(*chunk).agg(F.max_by(F.struct("known", "state"), "seq").alias("end"))
     carried = _run(
         ends, ["file"], "block",
         F.when(F.col("end.known"), F.col("end.state")),
         F.when(F.col("end.known"), 0).otherwise(F.col("end.state")),
     )
-    carried = carried.select(*chunk, F.coalesce(F.lag("state").over(of_file), F.lit(0)).alias("_start"))
-    before = F.lag(F.struct("known", "state")).over(inside)
-    placed = folded.withColumn("_before", before).join(carried, chunk)
-    state = (
-        F.when(F.col("_before").isNull(), F.col("_start"))
-        .when(F.col("_before.known"), F.col("_before.state"))
-        .otherwise((F.col("_start") + F.col("_before.state")) % 2)
-    )
-    placed = placed.withColumn("_own", F.last(F.when(state == 0, F.col("seq")), True).over(upto))
-    lasts = placed.groupBy(*chunk).agg(F.max("_own").alias("_seq"))
+    carried = carried.withColumn("start", F.coalesce(F.lag("state").over(of_file), F.lit(0)))
+    last = F.when(F.col("start") == 0, F.col("last_0")).otherwise(F.col("last_1"))
+    carried = carried.withColumn("_last", last)
     earlier = of_file.rowsBetween(Window.unboundedPreceding, -1)
-    found = F.last(F.when(F.col("_seq").isNotNull(), F.struct("block", "_seq")), True).over(earlier)
-    owners = lasts.select(*chunk, found.alias("_owner"))
-    owned = placed.join(owners, chunk).select(
-        "file",
-        "source_file",
-        F.when(F.col("_own").isNotNull(), F.col("block")).otherwise(F.col("_owner.block")).alias("at_block"),
-        F.coalesce("_own", "_owner._seq").alias("at_seq"),
-        F.struct("block", "seq", "value").alias("part"),
-    )
-    records = owned.groupBy("file", "source_file", "at_block", "at_seq").agg(
-        F.array_join(F.array_sort(F.collect_list("part"))["value"], "\n").alias("value")
-    )
-    return records.select(
-        "value", "file", "source_file", F.col("at_block").alias("block"), F.col("at_seq").alias("seq")
+    owner = F.last(F.when(F.col("_last").isNotNull(), F.struct("block", "_last")), True).over(earlier)
+    splits = carried.select(*chunk, "start", owner.alias("owner"))
+    inside = splits.where("start = 1")
+    heads = _pieces(lines.join(inside.select(*chunk), chunk, "left_semi"), inside).where("own IS NULL")
+    heads = heads.join(inside.select(*chunk, "owner"), chunk)
+    # only the last record of a split goes on
+    tails = heads.groupBy("file", F.col("owner.block").alias("block")).agg(
+        F.first("owner._last").alias("_of"),
+        F.array_join(F.array_sort(F.collect_list(F.struct(heads["block"], "value")))["value"], "\n").alias("_tail"),
     )
+    own = _pieces(lines, splits).where("own IS NOT NULL").withColumnRenamed("own", "seq")
+    tail = F.when(F.col("seq") == F.col("_of"), F.col("_tail"))
+    joined = own.join(tails, chunk, "left").withColumn("value", F.concat_ws("\n", "value", tail))
+    return joined.select("value", "file", _name(F.col("file")).alias("source_file"), "block", "seq")
+
+
+def _name(path: Column) -> Column:
+    """The file's name. The path comes as in a URI; a plus sign in it is meant literally."""
+    return F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B")))
 
 
 def _position() -> list[Column]:
-    # the name comes as in a URI; a plus sign in it is meant literally
-    name = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
     return [
         F.col("_metadata.file_path").alias("file"),
-        F.url_decode(name).alias("source_file"),
+        _name(F.col("_metadata.file_path")).alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     ]
@@ -142,16 +172,20 @@ def read_report(spark: SparkSession, path: str | list[str], name_filter: str | N
     """Grid of one or more reports; a missing path fails.
 
     Files are split like any text, so one huge report is read by many tasks. A first pass looks for
-    files with a cell that ends in a later line. Only their lines are shuffled, to be joined to
-    records.
+    files with a cell that ends in a later line. Only their lines are shuffled, once, to be joined
+    to records.
     """
     reader = spark.read
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
     lines = reader.text(path).select("value", *_position())
-    broken = lines.where(_opens(F.col("value"))).select("file").distinct()
-    if broken.isEmpty():
+    files = lines.groupBy("file").agg(F.max(_opens(F.col("value"))).alias("broken"))
+    some, every = files.agg(F.max("broken"), F.min("broken")).first()
+    if not some:
         return parse_grid(lines, "value")
+    if every:
+        return parse_grid(whole_records(lines), "value")
+    broken = files.where("broken").select("file")
     plain = lines.join(broken, "file", "left_anti")
     joined = whole_records(lines.join(broken, "file", "left_semi"))
     return parse_grid(plain.unionByName(joined), "value")
