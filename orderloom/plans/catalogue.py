@@ -296,20 +296,31 @@ def _report_name(year) -> str:
     return f"sales {year}+lb.csv"
 
 
-def _landed_reports(spark: SparkSession, folder: str) -> str:
-    """Folder of report files, one a year; every memo is broken over two lines."""
+# Report lines that a folder of reports holds about; each file of it is written by one task.
+REPORT_LINES = 1_500_000
+
+
+def _landed_reports(spark: SparkSession, folder: str, most: int = REPORT_LINES) -> str:
+    """Folders of report files, each with one file a year for some of the products; every memo is
+    broken over two lines. The number of folders grows with the lines, the files do not."""
     path = scratch_folder(spark, "reports")
-    text = rt.report_text(spark, folder).withColumn("year", F.substring("file", 7, 4))
-    columns = ["year", "block", "seq", "value"]
-    framed = F.col("block").isin(-1, 2**60)  # title rows and grand totals, once in each file
-    lines = text.where(~framed).select(*columns).unionByName(text.where(framed).select(*columns).distinct())
-    lines = lines.withColumn("value", F.replace("value", F.lit('"said '), F.lit('"said\n')))
-    ordered = lines.repartition("year").sortWithinPartitions(*columns[:3])
-    ordered.select("year", "value").write.partitionBy("year").text(path)
+    folders = 1 + table(spark, folder, "lineitem").count() // most
+    text = rt.report_text(spark, folder, F.pmod(F.xxhash64("l_partkey"), F.lit(folders)))
+    lines = text.select(
+        F.split_part("file", F.lit("_"), F.lit(3)).alias("folder"),
+        F.split_part("file", F.lit("_"), F.lit(2)).alias("year"),
+        "block",
+        "seq",
+        F.replace("value", F.lit('"said '), F.lit('"said\n')).alias("value"),
+    )
+    ordered = lines.repartition(8 * folders, "folder", "year")
+    ordered = ordered.sortWithinPartitions("folder", "year", "block", "seq")
+    ordered.select("folder", "year", "value").write.partitionBy("folder", "year").text(path)
     fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year=*/part-*")):
-        year = status.getPath().getParent().getName().removeprefix("year=")
-        fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(path, _report_name(year)))
+    for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/folder=*/year=*/part-*")):
+        of_year = status.getPath().getParent()
+        name = _report_name(of_year.getName().removeprefix("year="))
+        fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(of_year.getParent(), name))
     return path
 
 
@@ -323,9 +334,9 @@ def landed_report_lines(spark, folder):
 
 @query
 def landed_report_one(spark, folder):
-    """One report by its name."""
+    """The reports of one name."""
     path = _landed_reports(spark, folder)
-    lines = inv.report_lines(read_report(spark, f"{path}/{_report_name(2000)}"))
+    lines = inv.report_lines(read_report(spark, f"{path}/folder=*/{_report_name(2000)}"))
     return lines.drop(*inv.POSITION, "date_text")
 
 

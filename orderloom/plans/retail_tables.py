@@ -418,17 +418,13 @@ _SPREAD = 16
 _STEP = 32
 
 
-def report_text(spark: SparkSession, folder: str) -> DataFrame:
-    """Report lines (file, block, seq, value): one report per year and hundred products."""
-    sales = _sales(spark, folder).withColumn(
-        "file",
-        F.concat_ws(
-            "_",
-            F.lit("sales"),
-            _text(F.col("year")),
-            _text(F.floor(F.col("l_partkey") / 100)),
-        ),
-    )
+def report_text(spark: SparkSession, folder: str, products: Column | None = None) -> DataFrame:
+    """Report lines (file, block, seq, value): one report per year and group of products, which are
+    hundreds unless `products` tells a number for l_partkey."""
+    if products is None:
+        products = F.floor(F.col("l_partkey") / 100)
+    name = F.concat_ws("_", F.lit("sales"), _text(F.col("year")), _text(products))
+    sales = _sales(spark, folder).withColumn("file", name)
     part = F.col("l_partkey")
     spread = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey"), F.lit(_SPREAD))
     kind = (
@@ -484,7 +480,7 @@ def report_text(spark: SparkSession, folder: str) -> DataFrame:
         (2**60, 0, _csv(type="Total Inventory", amount="1.00")),
         (2**60, 1, _csv(type="Grand Total", amount="1.00")),
     ]
-    frames = sales.select("file").distinct().select(
+    frames = groups.select("file").distinct().select(
         "file",
         F.explode(
             F.array(
