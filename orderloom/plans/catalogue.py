@@ -134,17 +134,18 @@ def page_unnest_orders(spark, folder):
     )
 
 
-def _landed(texts: DataFrame, name: str) -> str:
+def _landed(texts: DataFrame, name: str, **options: str) -> str:
     """Folder of text files with the rows, as a feed would leave them."""
     path = scratch_folder(texts.sparkSession, name)
-    texts.select("value").write.text(path)
+    texts.select("value").write.text(path, **options)
     return path
 
 
 @query
 def landed_order_pages(spark, folder):
     """The order pages from files, read by the reader of landed pages."""
-    path = _landed(rt.order_pages(spark, folder), "orders")
+    # packed, as their names come again and again; each task writes a file of its own
+    path = _landed(rt.order_pages(spark, folder), "orders", compression="gzip")
     nodes = read_pages(spark, path, "orders", landed_after=control.cutoff())
     return nodes.select("id", "name", F.size("lineItems.edges").cast("bigint").alias("line_edges"))
 

@@ -109,8 +109,9 @@ def export_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_text(nodes: DataFrame, entity: str, page: Column) -> DataFrame:
-    """Landed page documents: the nodes of one `page` number together, a few dozen at most."""
-    node = F.struct(F.struct(*nodes.columns).alias("node"))
+    """Landed page documents: the nodes of one `page` number together, a few dozen at most. A column
+    _page of the nodes is no part of them."""
+    node = F.struct(F.struct(*[c for c in nodes.columns if c != "_page"]).alias("node"))
     edges = nodes.groupBy(page.alias("_page")).agg(F.collect_list(node).alias("edges"))
     info = F.struct(F.lit(False).alias("hasNextPage"), F.lit("").alias("endCursor"))
     document = F.struct(
@@ -122,21 +123,29 @@ def page_text(nodes: DataFrame, entity: str, page: Column) -> DataFrame:
 def order_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Order pages of up to ten orders, with or without lines.
 
-    An order lists the lines of up to four line numbers; one with more comes several times.
+    An order lists the lines of up to four line numbers; one with more comes several times. Orders
+    and lines are shuffled once each, by page, and all that follows keeps to it.
     """
+
+    def paged(rows: DataFrame, key: str) -> DataFrame:
+        page = F.floor(F.col(key).cast("bigint") / 10)
+        return rows.withColumn("_page", page).repartition("_page")
+
     orders = raw_orders(spark, folder)
     node = F.struct(F.struct("id", "title", "quantity", "variant").alias("node"))
     number = F.split_part("id", F.lit("-"), F.lit(2)).cast("int")
     lines = (
-        raw_lines(spark, folder)
-        .groupBy(F.col("__parentId"), F.floor(number / 4).alias("part"))
+        paged(raw_lines(spark, folder), "__parentId")
+        .groupBy("_page", "__parentId", F.floor(number / 4).alias("part"))
         .agg(F.collect_list(node).alias("edges"))
-        .select(F.col("__parentId").alias("id"), "part", "edges")
+        .select(F.col("_page").alias("_of"), F.col("__parentId").alias("_parent"), "edges")
     )
-    joined = orders.join(lines, "id", "left")
+    # equal ids, but told so that they are no key of the join, which would shuffle by them
+    same = F.col("id").between(F.col("_parent"), F.col("_parent"))
+    joined = paged(orders, "id").join(lines, (F.col("_page") == F.col("_of")) & same, "left")
     edges = F.coalesce("edges", F.array().cast(lines.schema["edges"].dataType))
-    nodes = joined.select(*orders.columns, F.struct(edges.alias("edges")).alias("lineItems"))
-    return page_text(nodes, "orders", F.floor(F.col("id").cast("bigint") / 10))
+    nodes = joined.select(*orders.columns, F.struct(edges.alias("edges")).alias("lineItems"), "_page")
+    return page_text(nodes, "orders", F.col("_page"))
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
