@@ -71,11 +71,7 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line nodes with the id of their order, as the bulk export delivers children."""
-    part = table(spark, folder, "part").select(
-        F.col("p_partkey").alias("l_partkey"), "p_name", "p_size", "p_retailprice"
-    )
-    rows = table(spark, folder, "lineitem").join(part, "l_partkey")
-    size, key = F.col("p_size"), F.col("l_partkey")
+    size, key = F.col("p_size"), F.col("p_partkey")
     suffix = (
         F.when(size % 7 == 0, " per lb").when(size % 11 == 0, " Custom Weight").otherwise("")
     )
@@ -89,12 +85,18 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
         sku.alias("sku"),
         _text(_dec(F.col("p_retailprice"))).alias("price"),
     )
-    return rows.select(
+    # what is the same for all lines of a product is made before the join
+    part = table(spark, folder, "part").select(
+        key.alias("l_partkey"),
+        F.when(size != 50, F.concat("p_name", suffix)).alias("title"),
+        F.when(size % 13 != 0, variant).alias("variant"),
+    )
+    return table(spark, folder, "lineitem").join(part, "l_partkey").select(
         _text(F.col("l_orderkey")).alias("__parentId"),
         F.concat_ws("-", _text(F.col("l_orderkey")), _text(F.col("l_linenumber"))).alias("id"),
-        F.when(size != 50, F.concat("p_name", suffix)).alias("title"),
+        "title",
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.when(size % 13 != 0, variant).alias("variant"),
+        "variant",
     )
 
 

@@ -33,9 +33,8 @@ def read_bulk(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def parse_bulk(texts: DataFrame, column: str) -> DataFrame:
     """Same for records held as text in a column."""
     record = F.from_json(F.col(column), BULK_RECORD, {"mode": READ_MODE})
-    return (
-        texts.where(F.trim(column) != "").select(record.alias("record")).select("record.*")
-    )
+    # inline() is no projection, so a later filter on a field does not parse the text a second time
+    return texts.where(F.trim(column) != "").select(F.inline(F.array(record)))
 
 
 def parse_sides(texts: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
