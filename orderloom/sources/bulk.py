@@ -46,7 +46,8 @@ def parse_sides(texts: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     parsed for both and told apart by what they hold.
     """
     text = F.col(column)
-    is_child = text.rlike(CHILD_KEY)
+    # plain text search first: most parents do not get as far as the pattern
+    is_child = text.contains("__parentId") & text.rlike(CHILD_KEY)
     may_be_child = text.contains("__parentId") | text.contains("\\u00")
     return (
         parents(parse_bulk(texts.where(~is_child), column)),
