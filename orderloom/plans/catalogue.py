@@ -623,23 +623,30 @@ def watermark_commit(spark, folder):
     return warehouse.read("pipeline_control")
 
 
+# Events of one landed file about.
+LANDED_EVENTS = 500_000
+
+
 @query
 def stream_upsert(spark, folder):
     """Events streamed into a keyed table in four batches: the latest event per user remains.
 
     The latest quarter lands first, so all that follows is late, and a batch is replayed at the end.
+    A batch is a quarter, of as many files as its events ask for.
     """
     events = table(spark, folder, "events")
     scratch = scratch_folder(spark, "events")
     quarter = F.ntile(4).over(Window.orderBy(F.desc("day")))
-    days = events.groupBy(F.to_date("ts").alias("day")).count().select("day", quarter.alias("landing"))
-    dealt = events.join(days, F.to_date("ts").eqNullSafe(F.col("day"))).drop("day")
+    days = events.groupBy(F.to_date("ts").alias("day")).count().select("day", "count", quarter.alias("landing"))
+    most = days.groupBy("landing").agg(F.sum("count").alias("n")).agg(F.max("n")).first()[0] or 0
+    files = 1 + most // LANDED_EVENTS
+    dealt = events.join(days.drop("count"), F.to_date("ts").eqNullSafe(F.col("day"))).drop("day")
     for n in range(1, 5):
         landing = dealt.where(F.col("landing") == n).drop("landing")
-        landing.coalesce(1).write.mode("append").parquet(f"{scratch}/landed")
+        landing.repartition(files).write.mode("append").parquet(f"{scratch}/landed")
     spec = TableSpec(events.schema, ("user_id",), buckets=8, version="ts")
     warehouse = Warehouse(spark, f"{scratch}/tables", {"latest": spec})
-    stream = stream_files(spark, f"{scratch}/landed", events.schema, "parquet", files_per_batch=1)
+    stream = stream_files(spark, f"{scratch}/landed", events.schema, "parquet", files_per_batch=files)
     run = upsert_stream(
         stream, warehouse, {"latest": lambda batch: batch}, f"{scratch}/progress"
     )
