@@ -13,6 +13,7 @@ REPORT_DATE_LAYOUTS = {
     r"\A(\d{1,2})/(\d{1,2})/(\d{2})\z": "20$3-$1-$2",
 }
 _ISO_DATE = r"\A(\d{4}-\d{1,2}-\d{1,2})\z"
+_SLASHED = r"\A\d{1,2}/\d{1,2}/\d{4}\z"
 
 ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -26,7 +27,13 @@ def report_date(c: Column) -> Column:
     iso = trim_ws(c)
     for layout, order in REPORT_DATE_LAYOUTS.items():
         iso = F.regexp_replace(iso, layout, order)
-    return F.regexp_extract(iso, _ISO_DATE, 1).try_cast("date")
+    rewritten = F.regexp_extract(iso, _ISO_DATE, 1)
+    # the two common layouts, by plain text search
+    month_day, year = F.substring_index(c, "/", 2), F.substring_index(c, "/", -1)
+    month, day = F.substring_index(month_day, "/", 1), F.substring_index(month_day, "/", -1)
+    slashed = F.concat_ws("-", year, month, day)
+    text = F.when(c.rlike(_SLASHED), slashed).when(c.rlike(_ISO_DATE), c).otherwise(rewritten)
+    return text.try_cast("date")
 
 
 def instant(c: Column) -> Column:

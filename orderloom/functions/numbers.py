@@ -30,9 +30,11 @@ def count_or_zero(c: Column) -> Column:
 
 def tolerant_double(c: Column) -> Column:
     """Number with optional thousands commas; blank or malformed text is null."""
-    # translate() maps the letters to a sign no number holds and deletes the commas
+    # translate() maps the letters to a sign no number holds and deletes the commas; most texts hold
+    # nothing but digits, where looking for commas is enough
     plain = F.translate(c, _JVM_LETTERS + ",", "#" * len(_JVM_LETTERS))
-    return trim_ws(plain).try_cast("double")
+    digits = F.when(c.rlike(r"\A[0-9.,]++\z"), F.replace(c, F.lit(","), F.lit("")))
+    return digits.otherwise(trim_ws(plain)).try_cast("double")
 
 
 def to_double(c: Column, places: int = 2) -> Column:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.dates import month_of, report_date
 from orderloom.functions.numbers import money_or_zero, to_double, tolerant_double
-from orderloom.functions.text import blank_to_null, first_filled, trim_ws
+from orderloom.functions.text import WHITE_SPACE, blank_to_null, first_filled, trim_ws
 from orderloom.operators.orders import STORE
 from orderloom.operators.positions import dense_sequence
+from orderloom.sources.report import checked_cells, raw_cell, raw_cells
 
 # Report headings and the types that are real transactions (case-sensitive).
 HEADINGS = {
@@ -32,8 +33,8 @@ PRODUCT_POSITION = 2
 POSITION = ("file", "block", "seq")
 
 
-def _cell(index: Column) -> Column:
-    return F.coalesce(trim_ws(F.try_element_at("cells", index + 1)), F.lit(""))
+def _text(cell: Column) -> Column:
+    return F.coalesce(trim_ws(cell), F.lit(""))
 
 
 def chunk_states(grid: DataFrame, product_position: int = PRODUCT_POSITION) -> DataFrame:
@@ -47,9 +48,13 @@ def chunk_states(grid: DataFrame, product_position: int = PRODUCT_POSITION) -> D
     is_header = F.lit(True)
     for mark in HEADER_MARKS:
         is_header = is_header & F.col("line").contains(mark)
+    no_group = F.col("line").rlike(
+        rf'\A(?:[^,"]*+,){{{product_position}}}[{WHITE_SPACE}]*+(?:,|\z|(?i:total))'
+    )
+    grid = grid.withColumn("cells", F.when(is_header | ~no_group, F.col("cells")))
     for mark in HEADER_MARKS:
         is_header = is_header & F.array_contains("cells", mark)
-    group_cell = _cell(F.lit(product_position))
+    group_cell = _text(F.try_element_at("cells", F.lit(product_position + 1)))
     may_head = F.lower(group_cell).rlike(r"\A(?!total)[\s\S]")
     blanks = F.transform("cells", lambda c: F.when(trim_ws(c) == "", "1").otherwise("0"))
     folded = (
@@ -111,15 +116,18 @@ def report_lines(grid: DataFrame, product_position: int = PRODUCT_POSITION) -> D
     # on the line rather than the cells, which would be cut twice
     filled = grid.where(F.translate("line", ", \t\r", "") != "")
     states = chunk_states(filled, product_position)
-    body = filled.join(states, ["file", "block"]).where(
+    # ten cells are needed, so only these are freed of their quotes
+    cut = filled.withColumn("raw", raw_cells(F.col("line")))
+    cut = cut.withColumn("raw", checked_cells(F.col("raw")))
+    body = cut.join(states, ["file", "block"]).where(
         F.struct("block", "seq") > F.col("header_at")
     )
     named = body.select(
         *POSITION,
         "source_file",
         "carried",
-        _cell(F.lit(product_position)).alias("group_cell"),
-        *[_cell(F.col(f"at.{k}")).alias(k) for k in HEADINGS],
+        _text(raw_cell(F.col("raw"), F.lit(product_position))).alias("group_cell"),
+        *[_text(raw_cell(F.col("raw"), F.col(f"at.{k}"))).alias(k) for k in HEADINGS],
     )
     # Subtotals and grand totals are neither: their type is no transaction, their group cell
     # starts with "total". Few references to a cell keep the pushed-down filter small.

@@ -325,7 +325,11 @@ def _date_text() -> Column:
 
 def _grouped(c: Column) -> Column:
     """Amount with a thousands comma."""
-    return F.regexp_replace(_text(_dec(c)), r"(\d)(\d{3}\.\d\d)$", "$1,$2")
+    text, last = _text(_dec(c)), F.lit(6)  # the last three digits, the point and two more
+    head = F.left(text, F.length(text) - last)
+    return F.when(F.abs(c) < 999, text).otherwise(
+        F.concat(head, F.when(head.rlike(r"\d$"), ",").otherwise(""), F.right(text, last))
+    )
 
 
 def _sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -419,24 +423,55 @@ def _csv(**cells: Column | str) -> Column:
 
     def quoted(c: Column) -> Column:
         escaped = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
-        return F.when(c.rlike('[",]'), escaped).otherwise(c)
+        return F.when(c.contains('"') | c.contains(","), escaped).otherwise(c)
 
     return F.concat_ws(",", *[quoted(F.lit(c) if isinstance(c, str) else c) for c in row])
 
 
-# A product's transactions are spread over this many chunks, so no chunk holds a hot product.
+# Where a report is large, a product's transactions are spread over this many chunks, so no chunk
+# holds a hot product. A report of fewer lines is one chunk, as a small file is one input split.
 _SPREAD = 16
 _STEP = 32
+CHUNK_LINES = 100_000
+# products of a report, unless the caller numbers them
+_PRODUCTS = 100
+
+
+def _large_reports(spark: SparkSession, folder: str, name: Column, most: int) -> list[str]:
+    """Names of the reports of more than `most` lines; there is at most one for every `most` lines."""
+    lines = table(spark, folder, "lineitem").select("l_partkey", F.year("l_shipdate").alias("year"))
+    sizes = lines.groupBy(name.alias("file")).count()
+    return [row["file"] for row in sizes.where(F.col("count") > most).select("file").collect()]
 
 
-def report_text(spark: SparkSession, folder: str, products: Column | None = None) -> DataFrame:
+def report_text(
+    spark: SparkSession, folder: str, products: Column | None = None, most: int = CHUNK_LINES
+) -> DataFrame:
     """Report lines (file, block, seq, value): one report per year and group of products, which are
-    hundreds unless `products` tells a number for l_partkey."""
+    hundreds unless `products` tells a number for l_partkey.
+
+    Reports of hundreds of products with up to `most` lines are one block; in others every product
+    has blocks of its own. The lines are shuffled once, by block.
+    """
+    part = F.col("l_partkey")
+    number = F.floor(part / _PRODUCTS) if products is None else products
+    name = F.concat_ws("_", F.lit("sales"), _text(F.col("year")), _text(number))
+    whole = F.lit(False)
     if products is None:
-        products = F.floor(F.col("l_partkey") / 100)
-    name = F.concat_ws("_", F.lit("sales"), _text(F.col("year")), _text(products))
+        whole = ~F.col("file").isin(_large_reports(spark, folder, name, most))
+
+    def place(block: Column | int, seq: Column | int, in_whole: Column | int) -> list[Column]:
+        block, seq, in_whole = (c if isinstance(c, Column) else F.lit(c) for c in (block, seq, in_whole))
+        # the default is never taken: it tells Spark that no block is null
+        return [
+            F.coalesce(F.when(whole, F.lit(0)).otherwise(block), F.lit(0)).cast("bigint").alias("block"),
+            F.when(whole, in_whole).otherwise(seq).cast("bigint").alias("seq"),
+        ]
+
+    # the products of a whole report one after the other, each with room for all of its lines
+    first = F.shiftleft(F.pmod(part, F.lit(_PRODUCTS)), 52)
+    last = F.lit((1 << 52) - 1)
     sales = _sales(spark, folder).withColumn("file", name)
-    part = F.col("l_partkey")
     spread = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey"), F.lit(_SPREAD))
     kind = (
         F.when(F.col("l_linenumber") == 7, "Estimate")
@@ -446,8 +481,7 @@ def report_text(spark: SparkSession, folder: str, products: Column | None = None
     )
     transactions = sales.select(
         "file",
-        (part * _STEP + 1 + spread).alias("block"),
-        F.col("seq"),
+        *place(part * _STEP + 1 + spread, F.col("seq"), first + 1 + F.col("seq")),
         _csv(
             type=kind,
             date=F.col("date_text"),
@@ -466,14 +500,9 @@ def report_text(spark: SparkSession, folder: str, products: Column | None = None
         "file",
         F.explode(
             F.array(
+                F.struct(*place(part * _STEP, 0, first), _csv(group=product).alias("value")),
                 F.struct(
-                    (part * _STEP).alias("block"),
-                    F.lit(0).alias("seq"),
-                    _csv(group=product).alias("value"),
-                ),
-                F.struct(
-                    (part * _STEP + _STEP - 1).alias("block"),
-                    F.lit(0).alias("seq"),
+                    *place(part * _STEP + _STEP - 1, 0, first + last),
                     _csv(group=F.concat(F.lit("Total "), product)).alias("value"),
                 ),
             )
@@ -496,15 +525,13 @@ def report_text(spark: SparkSession, folder: str, products: Column | None = None
         F.explode(
             F.array(
                 *[
-                    F.struct(
-                        F.lit(b).cast("bigint").alias("block"),
-                        F.lit(s).cast("bigint").alias("seq"),
-                        v.alias("value"),
-                    )
+                    F.struct(*place(b, s, s - len(frame) if b < 0 else 2**60 + s), v.alias("value"))
                     for b, s, v in frame
                 ]
             )
         ).alias("row"),
     ).select("file", "row.*")
     lines = reduce(DataFrame.unionByName, [transactions, headings, frames])
+    if products is None:
+        lines = lines.repartition("file", "block")
     return lines.withColumn("source_file", F.concat("file", F.lit(".csv")))

@@ -27,6 +27,32 @@ _CELL = f",({_QUOTED}[^,]*+|[^,]*+)"
 _OPENED = rf'(?:,(?:{_QUOTED}[^,]*+|(?!")[^,]*+))*+,"(?:[^"]++|"")*+\z'
 
 
+# the same, but a quoted cell without an end is no more than its quote, as no other cell is
+_CUT = f',({_QUOTED}[^,]*+|(?!")[^,]*+|")'
+
+
+def raw_cells(line: Column) -> Column:
+    """The cells of a record as they are written, for raw_cell()."""
+    return F.regexp_extract_all(_after_comma(line), F.lit(_CUT), F.lit(1))
+
+
+def checked_cells(raw: Column) -> Column:
+    """raw_cells() of a record; one that ends inside a quoted cell fails the job."""
+    no_end = F.raise_error(F.lit("a quoted cell of the report has no end"))
+    return F.when(F.array_contains(raw, '"'), no_end.cast("array<string>")).otherwise(raw)
+
+
+def raw_cell(raw: Column, index: Column) -> Column:
+    """The text of a cell of checked_cells(); null beyond the last."""
+    cell = F.try_element_at(raw, index + 1)
+    return F.when(cell.startswith('"'), _inside(cell)).otherwise(cell)
+
+
+def _inside(cell: Column) -> Column:
+    inner = F.regexp_replace(cell, f'\\A"((?:[^"]++|"")*+)"', "$1")
+    return F.when(cell.contains('""'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(inner)
+
+
 def _unquoted(cell: Column) -> Column:
     inner = F.regexp_replace(cell, f'\\A"((?:[^"]++|"")*+)"', "$1")
     return F.when(

@@ -105,3 +105,20 @@ def test_events_land_in_many_files(spark, tmp_path, monkeypatch):
     found = catalogue.QUERIES["stream_upsert"](spark, str(tmp_path)).collect()
     assert sorted(r["event_id"] for r in found) == list(range(313, 320))
     assert len([n for n in os.listdir(f"{scratch}/landed") if n.endswith(".parquet")]) >= 16
+
+
+def test_blocks_of_report_text_grow_with_files_not_lines(spark, tmp_path):
+    from orderloom.plans import retail_tables as rt
+    from orderloom.sources.report import parse_grid
+
+    folder = sold_tables(spark, tmp_path)
+    found = []
+    # two reports of 30 lines: one block each, or blocks of every product where they are large
+    for most, blocks in ((1000, {2}), (5, range(2 * 12, 2 * 12 * 20))):
+        text = rt.report_text(spark, folder, most=most)
+        assert text.select("file", "block").distinct().count() in blocks
+        assert text.select("file", "block", "seq", "value").distinct().count() == text.count()
+        found.append(inv.report_lines(parse_grid(text, "value")).drop(*inv.POSITION).collect())
+    assert sorted(found[0]) == sorted(found[1]) and len(found[0]) == 60
+    assert all(f'"tray {r["product_description"].split()[1]}"' in r["memo"] for r in found[0])
+    assert {r["date"] for r in found[0]} == {dt.date(1999, 6, 1), dt.date(2000, 6, 1)}
