@@ -122,3 +122,18 @@ def test_blocks_of_report_text_grow_with_files_not_lines(spark, tmp_path):
     assert sorted(found[0]) == sorted(found[1]) and len(found[0]) == 60
     assert all(f'"tray {r["product_description"].split()[1]}"' in r["memo"] for r in found[0])
     assert {r["date"] for r in found[0]} == {dt.date(1999, 6, 1), dt.date(2000, 6, 1)}
+
+
+def test_facts_are_made_once_for_both_loads(spark, tmp_path, monkeypatch):
+    folder = sold_tables(spark, tmp_path)
+    plans, upsert = [], catalogue.Warehouse.upsert
+
+    def spied(self, table, rows, batch=None):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return upsert(self, table, rows, batch)
+
+    monkeypatch.setattr(catalogue.Warehouse, "upsert", spied)
+    found = catalogue.QUERIES["channel_summary_by_month"](spark, folder).collect()
+    assert found == catalogue.QUERIES["channel_summary"](spark, folder).collect()
+    assert len(plans) == 6
+    assert not [p for p in plans if "Join" in p or "Aggregate" in p or "Window" in p]
