@@ -83,7 +83,7 @@ def model_bytes(tokens: list[bytes]) -> bytes:
 class ByteBPE:
     """Encoder and decoder; ids are little-endian unsigned 32-bit integers in one bytes object."""
 
-    def __init__(self, path: str, remember: int = 200_000) -> None:
+    def __init__(self, path: str, remember: int = 100_000) -> None:
         self.tokens = read_ranks(path)
         self.model = sentencepiece.SentencePieceProcessor()
         self.model.LoadFromSerializedProto(model_bytes(self.tokens))

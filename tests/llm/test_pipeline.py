@@ -3,6 +3,9 @@
 import random
 
 import corpus_pipeline
+import public_tokenizers
+
+from orderloom.llm import byte_bpe, common
 
 from .cases import WORDS
 
@@ -43,3 +46,16 @@ def test_stages_take_effect_in_order(spark, tmp_path):
     out = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert set(out) == set(left["decontamination"])
     assert all(len(r.token_ids) == 4 * r.n_tokens for r in out.values())
+
+
+def test_a_worker_lets_go_of_what_an_earlier_stage_kept(monkeypatch):
+    freed = []
+    monkeypatch.setattr(common, "_KEPT", {"earlier": object()})
+    monkeypatch.setattr(common.gc, "collect", lambda: freed.append("objects"))
+    pool = type("Pool", (), {"release_unused": lambda self: freed.append("memory")})()
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: pool)
+    monkeypatch.setattr(common.pa, "system_memory_pool", lambda: pool)
+    assert common.kept("later", lambda: 1) == 1 and common.kept("later", lambda: 2) == 1
+    assert freed == ["objects", "memory", "memory"] and list(common._KEPT) == ["later"]
+    coder = byte_bpe.ByteBPE(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert coder.of_piece.bound <= 100_000 and coder.of_unit.bound <= 100_000
