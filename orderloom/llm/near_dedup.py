@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import WordHashes, flagged, map_texts, mix64, pick, written
+from orderloom.llm.common import WordHashes, flagged, forget, map_texts, mix64, pick, written
 
 COORDINATES, ROWS = 128, 4
 #: Buckets of more classes are compared in blocks of about so many.
@@ -45,7 +45,8 @@ class Shingler:
     """Sorted distinct 64-bit hashes of the shingles of a text."""
 
     def __init__(self, size: int) -> None:
-        self.size, self.hashes = size, WordHashes()
+        forget()  # the pipeline's earlier stages have run in the same workers
+        self.size, self.hashes = size, WordHashes(200_000)
 
     def of(self, text: str | None) -> np.ndarray:
         words = text.encode("utf-8").lower().split() if text else []

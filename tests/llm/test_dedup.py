@@ -231,3 +231,23 @@ def test_sketches_estimate_similarity():
     b = shingler.of(" ".join(f"w{k}" for k in range(500, 2500)))
     x, y = near_dedup.sketches([a, b])
     assert abs((x == y).mean() - 0.6) < 0.15
+
+
+def test_removal_lists_no_more_links_than_lines(spark, monkeypatch):
+    # groups so small that each line has a salt of its own, as a rule
+    rows = []
+    for g in range(12):
+        base = [f"g{g}w{k}" for k in range(30)]
+        for i in range(12):
+            rows.append((g * 100 + i, " ".join([*base[:i], f"g{g}new{i}", *base[i + 1 :]])))
+    made, verified = [], line_dedup._verified
+
+    def counted(*args):
+        found = verified(*args).cache()
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(line_dedup, "_verified", counted)
+    out = line_dedup.deduplicate_lines(documents(spark, rows))
+    assert sorted(r[1] for r in out.collect() if r[3]) == [g * 100 for g in range(12)]
+    assert sum(made) <= len(rows)

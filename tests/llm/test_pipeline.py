@@ -59,3 +59,13 @@ def test_a_worker_lets_go_of_what_an_earlier_stage_kept(monkeypatch):
     assert freed == ["objects", "memory", "memory"] and list(common._KEPT) == ["later"]
     coder = byte_bpe.ByteBPE(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     assert coder.of_piece.bound <= 100_000 and coder.of_unit.bound <= 100_000
+
+
+def test_tasks_hold_few_texts_at_a_time(spark):
+    from orderloom.llm.common import filter_texts, map_texts
+
+    rows = spark.range(0, 3500, 1, 1).selectExpr("string(id) as text")
+    got = map_texts(rows, {"n": "bigint"}, lambda: lambda texts: [[len(texts)] * len(texts)]).collect()
+    assert sorted(int(r.text) for r in got) == list(range(3500)) and max(r.n for r in got) <= 1000
+    few = filter_texts(rows, lambda: lambda texts: [len(texts) <= 1000 and t != "7" for t in texts])
+    assert few.count() == 3499
