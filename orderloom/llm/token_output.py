@@ -45,23 +45,29 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.of_word = Remembered(self._word, remember)
         self.of_part = Remembered(self._part, remember)
+        self.of_marks = Remembered(self._marks, 10_000)
+        self.packed = [_pack([k]) for k in range(max(self.tokenizer.get_vocab().values()) + 1)]
 
     def _word(self, word: str) -> bytes:
         """A word whose normal form is its lower case, by the library's model alone."""
         letters = word.lower()
         if not word.isascii():
             letters = as_letters(unicodedata.normalize("NFC", word).lower().encode("utf-8"))
-        return _pack([t.id for t in self.tokenizer.model.tokenize(letters)])
+        return self._ids(letters)
+
+    def _ids(self, letters: str) -> bytes:
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.tokenizer.model.tokenize(letters)])
 
     def _part(self, part: bytes) -> bytes:
         text = part.decode("utf-8")
         m = _PLAIN.fullmatch(text)
         if m:
-            return self.of_word[m[1]] + (self._marks(m[2]) if m[2] else b"")
+            return self.of_word[m[1]] + (self.of_marks[m[2]] if m[2] else b"")
         return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _marks(self, marks: str) -> bytes:
-        return _pack([t.id for t in self.tokenizer.model.tokenize(marks)])
+        return self._ids(marks)
 
     def encode(self, text: str | None) -> bytes:
         return b"".join(map(self.of_part.__getitem__, text.encode("utf-8").split())) if text else b""

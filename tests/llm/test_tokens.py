@@ -148,3 +148,14 @@ def test_damaged_token_files_are_found(tmp_path):
     (tmp_path / "bad.zst").write_bytes(bytes(data))
     with pytest.raises(ValueError, match="checksum"):
         list(token_output.SeekableReader(f"file://{tmp_path / 'bad.zst'}").documents())
+
+
+def test_marks_after_words_are_tokenised_once():
+    import public_tokenizers
+
+    words = token_output.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
+    asked, of_ids = [], words._ids
+    words._ids = lambda letters: asked.append(letters) or of_ids(letters)
+    text = "One, two, three, four."
+    assert words.encode(text) == token_output._pack(words.tokenizer.encode(text, add_special_tokens=False).ids)
+    assert asked.count(",") == 1
