@@ -251,3 +251,49 @@ def test_removal_lists_no_more_links_than_lines(spark, monkeypatch):
     out = line_dedup.deduplicate_lines(documents(spark, rows))
     assert sorted(r[1] for r in out.collect() if r[3]) == [g * 100 for g in range(12)]
     assert sum(made) <= len(rows)
+
+
+def long_group(seed: int, n: int, size: int, most: int) -> list[str]:
+    """Near copies of one line of `size` tokens, each with at most `most` of its own."""
+    pick = random.Random(seed)
+    base = [f"g{seed}w{k}" for k in range(size)]
+    lines = []
+    for i in range(n):
+        line = list(base)
+        for k in pick.sample(range(size), pick.randint(0, most)):
+            line[k] = f"g{seed}own{pick.randint(0, 5 * size)}"
+        lines.append(" ".join(line))
+    return lines
+
+
+def test_long_lines_equal_brute_force(spark):
+    # sizes with 64, 128 and 256 parity bits, and some in between
+    texts = [t for size in (60, 66, 72, 120, 132, 150, 260) for t in long_group(size, 7, size, size // 7)]
+    texts += [" ".join(t.split()[:k]) for t in texts[::9] for k in (55, 62, 64, 65, 110, 128, 129)]
+    rows = list(enumerate(texts))
+    sets = [set(t.split()) for t in texts]
+    match = [[5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets]
+    found = {r.doc_id: r for r in line_dedup.line_matches(documents(spark, rows)).collect()}
+    for i, own in enumerate(sets):
+        assert found[i].removed == any(match[i][:i])
+        assert found[i].n_links == len({frozenset(o) for o, m in zip(sets, match[i], strict=True) if m and o != own})
+    left = {r[1] for r in line_dedup.deduplicate_lines(documents(spark, rows)).collect() if r[3]}
+    assert left == {i for i in range(len(rows)) if not any(match[i][:i])}
+    assert 10 < len(left) < len(rows) - 30
+
+
+def test_large_group_is_settled_without_its_pairs(spark, monkeypatch):
+    texts = [t for seed in (1, 2) for t in long_group(seed, 200, 60, 4)]
+    seen, likeliest = [], line_dedup._likeliest
+
+    def counted(pairs):
+        seen.append(pairs.count())
+        return likeliest(pairs)
+
+    monkeypatch.setattr(line_dedup, "_likeliest", counted)
+    out = line_dedup.deduplicate_lines(documents(spark, list(enumerate(texts))))
+    sets = [set(t.split()) for t in texts]
+    alone = [i for i, a in enumerate(sets) if not any(5 * len(a & b) >= 4 * len(a | b) for b in sets[:i])]
+    assert sorted(r[1] for r in out.collect() if r[3]) == alone
+    # of 40,000 pairs
+    assert sum(seen) < 12 * len(texts)
