@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,13 +49,17 @@ def merge_state(
     keys = list(keys)
     rules = rules or {}
     touched = staged.select(*keys)
-    untouched = target.join(touched, keys, "left_anti").select(*target.columns)
+    # a row without its key stays; without these, both joins below read one and the same shuffle
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    keyed = target.where(~no_key)
+    untouched = keyed.join(touched, keys, "left_anti").select(*target.columns)
+    untouched = untouched.unionByName(target.where(no_key))
     complete = set(target.columns) <= set(staged.columns)
     if complete and not version and not rules:
         return untouched.unionByName(staged.select(*target.columns))
 
     rest = [c for c in target.columns if c not in keys]
-    matched = latest_per_key(target.join(touched, keys, "left_semi"), keys, version)
+    matched = latest_per_key(keyed.join(touched, keys, "left_semi"), keys, version)
     old = matched.select(*keys, F.struct(*rest).alias("_old"), F.lit(True).alias("_matched"))
     pairs = staged.join(old, keys, "left")
     stale = F.lit(False)

@@ -49,6 +49,10 @@ class SnapshotLog:
             return []
         return sorted(s.getPath().getName() for s in self.fs.listStatus(folder))
 
+    def size(self, path: str) -> int:
+        """Bytes of all files in a folder."""
+        return self.fs.getContentSummary(self._path(path)).getLength()
+
     def delete(self, path: str) -> None:
         self.fs.delete(self._path(path), True)
 

@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.schemas import TABLES, TableSpec, conform
-from orderloom.sinks.merge import merge_state, staged_rows
+from orderloom.sinks.merge import merge_state, require_keys, staged_rows
 from orderloom.sinks.snapshots import VERSION, Snapshot, SnapshotLog
 
 PART, BUCKET, MONTH = "part", "bucket", "_month"
 NO_MONTH = "none"
 #: Buckets a key index starts with, and keys of a bucket from which on it gets four times as many.
 INDEX_BUCKETS, INDEX_KEYS = 16, 500_000
+#: Bytes of a staged batch that are merged at a time. A larger one is merged in passes, each for some of the
+#: keys, so what the shuffles of one pass leave on disk does not grow with the batch.
+MERGE_BYTES = 1 << 30
 #: Versions whose files stay for readers that began before the last load.
 KEPT_VERSIONS = 3
 
@@ -34,11 +37,13 @@ class Warehouse:
         root: str,
         tables: dict[str, TableSpec] | None = None,
         index_keys: int = INDEX_KEYS,
+        merge_bytes: int = MERGE_BYTES,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.tables = dict(tables or TABLES)
         self.index_keys = index_keys
+        self.merge_bytes = merge_bytes
 
     # ---- layout ----
 
@@ -94,7 +99,8 @@ class Warehouse:
     def files(self, base: str, schema: T.StructType, column: str, live: dict[str, int]) -> DataFrame:
         """The folders loaded_by=…/column=… of the live partitions."""
         if not live:
-            return self.spark.createDataFrame([], schema)
+            # known to be empty when a plan is made, so joins with it are none
+            return self.spark.createDataFrame([], schema).where(F.lit(False))
         paths = [f"{base}/{VERSION}={v}/{column}={p}" for p, v in sorted(live.items())]
         full = T.StructType([*schema, T.StructField(VERSION, T.LongType())])
         found = self.spark.read.schema(full).option("basePath", base).parquet(*paths)
@@ -124,17 +130,30 @@ class Warehouse:
         """Overwrite staging with the latest row per key, cast to the table's schema.
 
         Staging cuts the lineage of the input, and its size on disk lets Spark broadcast a
-        small batch and leave the target unshuffled.
+        small batch and leave the target unshuffled. The batch is written as it comes; its rows are
+        shuffled only if a key repeats, which the hashes of the keys tell.
         """
         spec = self.tables[table]
         if not spec.month_of or spec.month_of in rows.columns:
             rows = rows.withColumn(PART, self._part(spec))
         typed = conform(rows, self._layout_schema(table))
-        staged = staged_rows(typed, spec.keys, self._version(table, typed))
-        staged.write.mode("overwrite").parquet(self.staging_path(table))
-        return self.spark.read.schema(staged.schema).parquet(self.staging_path(table))
+        batch = self._written(require_keys(typed, spec.keys), self.staging_path(table))
+        hashes = batch.groupBy(F.xxhash64(*spec.keys).alias("hash")).count()
+        if hashes.where("count > 1").isEmpty():
+            return batch
+        # equal hashes of unlike keys are as good as never seen, and only cost this pass
+        latest = staged_rows(batch, spec.keys, self._version(table, batch))
+        return self._written(latest, self._latest_path(table))
+
+    def _written(self, rows: DataFrame, path: str) -> DataFrame:
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _latest_path(self, table: str) -> str:
+        return f"{self.staging_path(table)}_latest"
 
     def clear_staging(self, table: str) -> None:
+        self.log(table).delete(self._latest_path(table))
         empty = self.spark.createDataFrame([], self._layout_schema(table))
         empty.write.mode("overwrite").parquet(self.staging_path(table))
 
@@ -177,15 +196,19 @@ class Warehouse:
 
         touched = arriving | stored_in
         target = self._stored(table, snapshot, touched)
-        state = merge_state(target, staged, keys, self._version(table, staged), spec.rules)
-        if spec.month_of:
-            state = state.withColumn(PART, F.coalesce(PART, F.lit(NO_MONTH)))
         number = log.free_number()
         folder = f"{self.path(table)}/{VERSION}={number}"
-        (
+        passes = 1 + log.size(self.staging_path(table)) // self.merge_bytes
+        for n in range(passes):
+            stored, arrived = target, staged
+            if passes > 1:
+                stored, arrived = (rows.where(self._bucket(keys, passes) == n) for rows in (target, staged))
+            state = merge_state(stored, arrived, keys, self._version(table, staged), spec.rules)
+            if spec.month_of:
+                state = state.withColumn(PART, F.coalesce(PART, F.lit(NO_MONTH)))
             # hot partitions are split over several tasks and files, small ones share a task
-            state.hint("rebalance", F.col(PART)).write.partitionBy(PART).parquet(folder)
-        )
+            laid_out = state.hint("rebalance", F.col(PART)).write.partitionBy(PART)
+            laid_out.mode("append" if n else "errorifexists").parquet(folder)
         written = {n.partition("=")[2] for n in log.children(folder) if n.startswith(f"{PART}=")}
         # a month whose last row has moved elsewhere is not written again
         parts = {p: v for p, v in snapshot.parts.items() if p not in touched}

@@ -137,3 +137,98 @@ def test_facts_are_made_once_for_both_loads(spark, tmp_path, monkeypatch):
     assert found == catalogue.QUERIES["channel_summary"](spark, folder).collect()
     assert len(plans) == 6
     assert not [p for p in plans if "Join" in p or "Aggregate" in p or "Window" in p]
+
+
+def test_only_repeated_keys_are_shuffled_for_staging(spark, tmp_path, monkeypatch):
+    from orderloom.schemas import TableSpec
+    from orderloom.sinks import warehouse as wh
+
+    calls, staged_rows = [], wh.staged_rows
+    monkeypatch.setattr(wh, "staged_rows", lambda *args: calls.append(args) or staged_rows(*args))
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    w = wh.Warehouse(spark, str(tmp_path), {"t": TableSpec(rows.schema, ("k",), version="v")})
+    w.upsert("t", rows)
+    assert not calls
+    w.upsert("t", spark.createDataFrame([("a", 3), ("c", 4), ("a", 5), ("b", 1)], rows.schema))
+    assert len(calls) == 1
+    assert sorted(map(tuple, w.read("t").collect())) == [("a", 5), ("b", 2), ("c", 4)]
+    assert not os.path.exists(w._latest_path("t"))
+
+
+def test_a_first_load_joins_nothing_and_a_target_is_shuffled_once(spark, tmp_path):
+    from orderloom.schemas import TableSpec
+    from orderloom.sinks.merge import merge_state
+    from orderloom.sinks.warehouse import Warehouse
+
+    rows = spark.createDataFrame([("a", 1, 1), ("b", 2, 2)], "k string, v int, w int")
+    w = Warehouse(spark, str(tmp_path), {"t": TableSpec(rows.schema, ("k",))})
+    state = merge_state(w.read("t"), rows.select("k", "v"), ["k"])
+    assert "Join" not in state._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, state.collect())) == [("a", 1, None), ("b", 2, None)]
+    w.upsert("t", rows)
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        state = merge_state(w.read("t"), rows.select("k", "v"), ["k"])
+        plan = state._jdf.queryExecution().executedPlan().toString()
+        # the keys of the batch and the target are read by both joins
+        assert plan.count("ReusedExchange") == 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_rows_without_a_key_stay(spark):
+    from orderloom.sinks.merge import merge_state
+
+    target = spark.createDataFrame([(None, 1), (None, 1), ("a", 2)], "k string, v int")
+    for version in (None, "v"):
+        state = merge_state(target, spark.createDataFrame([("a", 3)], target.schema), ["k"], version)
+        assert sorted(map(str, state.collect())) == sorted(
+            ["Row(k=None, v=1)", "Row(k=None, v=1)", "Row(k='a', v=3)"]
+        )
+
+
+def test_a_large_batch_is_merged_in_passes(spark, tmp_path, monkeypatch):
+    from orderloom.schemas import TableSpec
+    from orderloom.sinks import warehouse as wh
+
+    sizes, merge_state = [], wh.merge_state
+
+    def spied(target, staged, *rest):
+        sizes.append(staged.count())
+        return merge_state(target, staged, *rest)
+
+    day = dt.date(2026, 1, 5)
+    rows = [(f"k{n}", n, day.replace(month=1 + n % 3)) for n in range(60)]
+    spec = TableSpec(spark.createDataFrame(rows, "k string, v int, d date").schema, ("k",), month_of="d")
+    w = wh.Warehouse(spark, str(tmp_path), {"t": spec}, merge_bytes=1500)
+    w.upsert("t", spark.createDataFrame(rows[:40], spec.schema).coalesce(1))
+    monkeypatch.setattr(wh, "merge_state", spied)
+    later = [(k, -v, day.replace(month=3)) for k, v, _ in rows[20:]]
+    w.upsert("t", spark.createDataFrame(later, spec.schema).repartition(4))
+    assert len(sizes) > 1 and sum(sizes) == 40 and max(sizes) < 40
+    assert sorted(map(tuple, w.read("t").collect())) == sorted(rows[:20] + later)
+    # each month is one partition of one version, as ever
+    assert len(w.months("t")) == 3 and w.months("t")["2026-03"] == max(w.months("t").values())
+
+
+def test_shuffle_files_go_when_a_query_ends(spark):
+    import glob
+    import time
+
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def files():
+        return {f for d in folders for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+
+    before = files()
+    kept = spark.range(1000).repartition(7)  # alive, so nothing is garbage
+    assert len(kept.collect()) == 1000
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and kept is not None
