@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -297,16 +298,29 @@ def _report_name(year) -> str:
     return f"sales {year}+lb.csv"
 
 
-# Report lines that a folder of reports holds about; each file of it is written by one task.
+# Report lines that a folder of reports holds about; it is written by one task.
 REPORT_LINES = 1_500_000
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    """A setting that holds for a while."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _landed_reports(spark: SparkSession, folder: str, most: int = REPORT_LINES) -> str:
     """Folders of report files, each with one file a year for some of the products; every memo is
     broken over two lines. The number of folders grows with the lines, the files do not."""
     path = scratch_folder(spark, "reports")
     folders = 1 + table(spark, folder, "lineitem").count() // most
-    text = rt.report_text(spark, folder, F.pmod(F.xxhash64("l_partkey"), F.lit(folders)))
+    number = F.pmod(F.xxhash64("l_partkey"), F.lit(folders))
+    # every folder is made by one task, which needs no other shuffle than that of the sales
+    text = rt.report_text(spark, folder, number, tasks=8 * folders)
     lines = text.select(
         F.split_part("file", F.lit("_"), F.lit(3)).alias("folder"),
         F.split_part("file", F.lit("_"), F.lit(2)).alias("year"),
@@ -314,9 +328,9 @@ def _landed_reports(spark: SparkSession, folder: str, most: int = REPORT_LINES)
         "seq",
         F.replace("value", F.lit('"said '), F.lit('"said\n')).alias("value"),
     )
-    ordered = lines.repartition(8 * folders, "folder", "year")
-    ordered = ordered.sortWithinPartitions("folder", "year", "block", "seq")
-    ordered.select("folder", "year", "value").write.partitionBy("folder", "year").text(path)
+    ordered = lines.sortWithinPartitions("folder", "year", "block", "seq")
+    with _setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        ordered.select("folder", "year", "value").write.partitionBy("folder", "year").text(path)
     fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/folder=*/year=*/part-*")):
         of_year = status.getPath().getParent()

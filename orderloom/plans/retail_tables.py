@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.dates import ISO_INSTANT, report_date
@@ -332,36 +332,39 @@ def _grouped(c: Column) -> Column:
     )
 
 
-def _sales(spark: SparkSession, folder: str) -> DataFrame:
+def _sales(spark: SparkSession, folder: str, products: Column | None = None, tasks: int = 1) -> DataFrame:
     """Sold lines with their texts as a report shows them, in table order.
 
-    Texts are made below the joins, so filters on them run in the scan stage.
+    Texts are made below the joins, so filters on them run in the scan stage. With `products`, a number
+    for l_partkey that is kept as `number`, lines are shuffled once, by it and without texts, and every
+    number is in one of so many tasks.
     """
-    lines = table(spark, folder, "lineitem").select(
+    texts = {
+        "year": F.year("l_shipdate"),
+        "date_text": _date_text(),
+        "quantity_text": _text(F.col("l_quantity") * 100),
+        "amount_text": _grouped(F.col("l_extendedprice")),
+    }
+    price = _grouped(F.col("p_retailprice"))
+    raw = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"]
+    position = [
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.col("_metadata.row_index").alias("seq"),
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        "l_quantity",
-        "l_returnflag",
-        F.year("l_shipdate").alias("year"),
-        _date_text().alias("date_text"),
-        _text(F.col("l_quantity") * 100).alias("quantity_text"),
-        _grouped(F.col("l_extendedprice")).alias("amount_text"),
-    )
-    part = table(spark, folder, "part").select(
-        F.col("p_partkey").alias("l_partkey"),
-        "p_name",
-        "p_size",
-        _grouped(F.col("p_retailprice")).alias("price_text"),
-    )
-    supplier = table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), "s_name"
-    )
-    return lines.join(part, "l_partkey").join(supplier, "l_suppkey")
+    ]
+    lines, part = table(spark, folder, "lineitem"), table(spark, folder, "part")
+    supplier = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    of_part = [F.col("p_partkey").alias("l_partkey"), "p_name", "p_size"]
+    if products is None:
+        lines = lines.select(*position, *raw, *[c.alias(name) for name, c in texts.items()])
+        part = part.select(*of_part, price.alias("price_text"))
+        return lines.join(part, "l_partkey").join(supplier, "l_suppkey")
+    lines = lines.select(position[-1], *raw, "l_shipdate", "l_extendedprice")
+    part = part.select(*of_part, "p_retailprice")
+    # both sides keep to the shuffle by number where the planner takes a part of the key (see _landed_reports)
+    lines, part = (df.withColumn("number", products).repartition(tasks, "number") for df in (lines, part))
+    rows = lines.join(part, ["number", "l_partkey"]).join(supplier, "l_suppkey")
+    return rows.withColumns(texts | {"price_text": price})
 
 
 def b2b_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -445,16 +448,21 @@ def _large_reports(spark: SparkSession, folder: str, name: Column, most: int) ->
 
 
 def report_text(
-    spark: SparkSession, folder: str, products: Column | None = None, most: int = CHUNK_LINES
+    spark: SparkSession,
+    folder: str,
+    products: Column | None = None,
+    most: int = CHUNK_LINES,
+    tasks: int = 1,
 ) -> DataFrame:
     """Report lines (file, block, seq, value): one report per year and group of products, which are
     hundreds unless `products` tells a number for l_partkey.
 
     Reports of hundreds of products with up to `most` lines are one block; in others every product
-    has blocks of its own. The lines are shuffled once, by block.
+    has blocks of its own. The lines are shuffled once, by block; with `products` their sales are, by
+    that number into so many tasks, each of which makes the whole text of its reports.
     """
     part = F.col("l_partkey")
-    number = F.floor(part / _PRODUCTS) if products is None else products
+    number = F.floor(part / _PRODUCTS) if products is None else F.col("number")
     name = F.concat_ws("_", F.lit("sales"), _text(F.col("year")), _text(number))
     whole = F.lit(False)
     if products is None:
@@ -471,7 +479,7 @@ def report_text(
     # the products of a whole report one after the other, each with room for all of its lines
     first = F.shiftleft(F.pmod(part, F.lit(_PRODUCTS)), 52)
     last = F.lit((1 << 52) - 1)
-    sales = _sales(spark, folder).withColumn("file", name)
+    sales = _sales(spark, folder, products, tasks).withColumn("file", name)
     spread = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey"), F.lit(_SPREAD))
     kind = (
         F.when(F.col("l_linenumber") == 7, "Estimate")
@@ -479,8 +487,7 @@ def report_text(
         .when(F.col("l_returnflag") == "A", "Sales Receipt")
         .otherwise("Invoice")
     )
-    transactions = sales.select(
-        "file",
+    transaction = F.struct(
         *place(part * _STEP + 1 + spread, F.col("seq"), first + 1 + F.col("seq")),
         _csv(
             type=kind,
@@ -494,20 +501,14 @@ def report_text(
             amount=F.col("amount_text"),
         ).alias("value"),
     )
-    groups = sales.select("file", "l_partkey", "p_name").distinct()
     product = F.concat_ws(" ", "p_name", _text(part))
-    headings = groups.select(
-        "file",
-        F.explode(
-            F.array(
-                F.struct(*place(part * _STEP, 0, first), _csv(group=product).alias("value")),
-                F.struct(
-                    *place(part * _STEP + _STEP - 1, 0, first + last),
-                    _csv(group=F.concat(F.lit("Total "), product)).alias("value"),
-                ),
-            )
-        ).alias("row"),
-    ).select("file", "row.*")
+    headings = F.array(
+        F.struct(*place(part * _STEP, 0, first), _csv(group=product).alias("value")),
+        F.struct(
+            *place(part * _STEP + _STEP - 1, 0, first + last),
+            _csv(group=F.concat(F.lit("Total "), product)).alias("value"),
+        ),
+    )
     titles = ("type", "date", "num", "memo", "name", "qty", "uom", "price", "amount", "balance")
     words = (
         "Type", "Date", "Num", "Memo", "Name", "Qty", "U/M", "Sales Price", "Amount", "Balance"
@@ -520,18 +521,31 @@ def report_text(
         (2**60, 0, _csv(type="Total Inventory", amount="1.00")),
         (2**60, 1, _csv(type="Grand Total", amount="1.00")),
     ]
-    frames = groups.select("file").distinct().select(
-        "file",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(*place(b, s, s - len(frame) if b < 0 else 2**60 + s), v.alias("value"))
-                    for b, s, v in frame
-                ]
-            )
-        ).alias("row"),
-    ).select("file", "row.*")
-    lines = reduce(DataFrame.unionByName, [transactions, headings, frames])
+    frames = F.array(
+        *[
+            F.struct(*place(b, s, s - len(frame) if b < 0 else 2**60 + s), v.alias("value"))
+            for b, s, v in frame
+        ]
+    )
     if products is None:
+        groups = sales.select("file", "l_partkey", "p_name").distinct()
+        lines = [
+            sales.select("file", transaction.alias("row")),
+            groups.select("file", F.explode(headings).alias("row")),
+            groups.select("file").distinct().select("file", F.explode(frames).alias("row")),
+        ]
+        lines = reduce(DataFrame.unionByName, [rows.select("file", "row.*") for rows in lines])
         lines = lines.repartition("file", "block")
+    else:
+        # the first sale of a product in a report brings its headings, the first of all the frame
+        of_file = Window.partitionBy("number", "file").orderBy("l_partkey", "p_name")
+        of_product = Window.partitionBy("number", "file", "l_partkey", "p_name").orderBy("l_partkey")
+        firsts = {"_file": F.row_number().over(of_file), "_product": F.row_number().over(of_product)}
+        none = F.array().cast("array<struct<block:bigint,seq:bigint,value:string>>")
+        rows = F.concat(
+            F.array(transaction),
+            F.when(F.col("_product") == 1, headings).otherwise(none),
+            F.when(F.col("_file") == 1, frames).otherwise(none),
+        )
+        lines = sales.withColumns(firsts).select("file", F.explode(rows).alias("row")).select("file", "row.*")
     return lines.withColumn("source_file", F.concat("file", F.lit(".csv")))

@@ -13,6 +13,7 @@ every line knows its state and the line its record starts at: huge files stay sp
 from __future__ import annotations
 
 from collections.abc import Sequence
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -105,51 +106,70 @@ def _run(rows: DataFrame, partition: list[str], order: str, fixed: Column, turn:
     ).drop("_fixed", "_turns", "_last")
 
 
+def _step(line: Column) -> Column:
+    """What a line does to the state: sets it (0, 1), leaves it (2) or turns it (3)."""
+    opened = F.when(_goes_on(line), 1).otherwise(3)
+    return (
+        F.when(~line.contains('"'), 2)
+        .when(_opens(line), opened)
+        .otherwise(F.when(_goes_on(line), 2).otherwise(0))
+    )
+
+
 def _placed(lines: DataFrame) -> DataFrame:
-    """Lines with begins_0 and begins_1: the state each begins in if its split begins in 0 or in 1."""
-    chunk = ["file", "block"]
-    opens, goes_on = _opens(F.col("value")).cast("int"), _goes_on(F.col("value")).cast("int")
-    steps = lines.withColumns({"_a": opens, "_b": goes_on})
-    folded = _run(
-        steps, chunk, "seq",
-        F.when(F.col("_a") == F.col("_b"), F.col("_a")),
-        (F.col("_a") > F.col("_b")).cast("int"),
-    )
-    before = F.lag(F.struct("known", "state")).over(Window.partitionBy(*chunk).orderBy("seq"))
-    placed = folded.withColumn("_before", before)
+    """Lines (with _step() as step) with begins_0 and begins_1: the state each begins in if its split
+    begins in 0 or in 1; known and state, as of _run(), after it."""
+    before = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    step = F.col("step")
+    odd = F.coalesce(F.sum(F.when(step == 3, 1)).over(before), F.lit(0)) % 2
+    # the state that was set last, less the turns up to there
+    fixed = F.last(F.when(step < 2, (step + F.col("_odd")) % 2), True).over(before)
+    placed = lines.withColumn("_odd", odd).withColumn("_fixed", fixed)
 
     def begins(start: int) -> Column:
-        turned = F.pmod(F.lit(start) + F.col("_before.state"), F.lit(2))
-        known = F.when(F.col("_before.known"), F.col("_before.state")).otherwise(turned)
-        return F.when(F.col("_before").isNull(), start).otherwise(known)
+        return ((F.coalesce("_fixed", F.lit(start)) + F.col("_odd")) % 2).cast("int")
 
-    made = {"begins_0": begins(0), "begins_1": begins(1)}
-    return placed.withColumns(made).drop("_a", "_b", "_before")
+    after = F.when(step < 2, step).when(step == 3, 1 - F.col("begins_0")).otherwise(F.col("begins_0"))
+    placed = placed.withColumns({"begins_0": begins(0), "begins_1": begins(1)})
+    made = {"known": (step < 2) | F.col("_fixed").isNotNull(), "state": after}
+    return placed.withColumns(made).drop("_odd", "_fixed")
 
 
 def _pieces(lines: DataFrame, splits: DataFrame) -> DataFrame:
     """The lines of every record in one split as one text, by the place of its first line, own; null
     for those that go on with a record of an earlier split."""
-    upto = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     placed = _placed(lines).join(splits.select("file", "block", "start"), ["file", "block"])
     begins = F.when(F.col("start") == 0, F.col("begins_0")).otherwise(F.col("begins_1"))
-    placed = placed.withColumn("begins", begins)
-    own = F.last(F.when(F.col("begins") == 0, F.col("seq")), True).over(upto)
+    return _joined(placed, begins)
+
+
+def _joined(placed: DataFrame, begins: Column) -> DataFrame:
+    """_pieces() of lines whose state is known."""
+    upto = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    own = F.last(F.when(begins == 0, F.col("seq")), True).over(upto)
     parts = placed.withColumn("own", own).groupBy("file", "block", "own")
     text = F.array_join(F.array_sort(F.collect_list(F.struct("seq", "value")))["value"], "\n")
     return parts.agg(text.alias("value"))
 
 
-def whole_records(lines: DataFrame) -> DataFrame:
-    """Lines (value and position) joined to records, each at the position of its first line.
+def whole_records(lines: DataFrame, root: str = "", split: bool = True) -> DataFrame:
+    """Lines (value and position) joined to records, each at the position of its first line. What
+    `file` leaves out of the paths of all files is `root`; `split` tells that a file may have several
+    splits.
 
     The lines are shuffled once, by split: all steps on lines keep to it, and so may later ones. What
-    passes from split to split is one row for each, and the text of records that do so.
+    passes from split to split is one row for each, and the text of records that do so. Files of one
+    split each begin outside of cells, so they need no pass to find the state that splits begin in.
     """
     chunk = ["file", "block"]
     of_file = Window.partitionBy("file").orderBy("block")
-    # one and the same shuffle serves all passes below, so each takes these columns
-    lines = lines.select("value", *chunk, "seq").repartition(*chunk)
+    # one and the same shuffle serves all passes below, so each takes these columns; a join would
+    # look for nulls below the shuffle and so have one of its own, but here Spark knows of none
+    place = [F.coalesce(c, F.lit(n)).alias(c) for c, n in (("file", ""), ("block", 0))]
+    lines = lines.select("value", *place, "seq", _step(F.col("value")).alias("step")).repartition(*chunk)
+    if not split:
+        own = _joined(_placed(lines), F.col("begins_0")).withColumnRenamed("own", "seq")
+        return own.select("value", "file", _source(root), "block", "seq")
     ends = _placed(lines).groupBy(*chunk).agg(
         F.max_by(F.struct("known", "state"), "seq").alias("end"),
         *(F.max(F.when(F.col(f"begins_{s}") == 0, F.col("seq"))).alias(f"last_{s}") for s in (0, 1)),
@@ -167,7 +187,8 @@ def whole_records(lines: DataFrame) -> DataFrame:
     owner = F.last(F.when(F.col("_last").isNotNull(), F.struct("block", "_last")), True).over(earlier)
     splits = carried.select(*chunk, "start", owner.alias("owner"))
     inside = splits.where("start = 1")
-    heads = _pieces(lines.join(inside.select(*chunk), chunk, "left_semi"), inside).where("own IS NULL")
+    # no semi join, which would move below the shuffle and so have a second one made of all lines
+    heads = _pieces(lines.join(inside.select(*chunk), chunk), inside).where("own IS NULL")
     heads = heads.join(inside.select(*chunk, "owner"), chunk)
     # only the last record of a split goes on
     tails = heads.groupBy("file", F.col("owner.block").alias("block")).agg(
@@ -177,7 +198,7 @@ def whole_records(lines: DataFrame) -> DataFrame:
     own = _pieces(lines, splits).where("own IS NOT NULL").withColumnRenamed("own", "seq")
     tail = F.when(F.col("seq") == F.col("_of"), F.col("_tail"))
     joined = own.join(tails, chunk, "left").withColumn("value", F.concat_ws("\n", "value", tail))
-    return joined.select("value", "file", _name(F.col("file")).alias("source_file"), "block", "seq")
+    return joined.select("value", "file", _source(root), "block", "seq")
 
 
 def _name(path: Column) -> Column:
@@ -185,10 +206,13 @@ def _name(path: Column) -> Column:
     return F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B")))
 
 
+def _source(root: str) -> Column:
+    return _name(F.concat(F.lit(root), F.col("file"))).alias("source_file")
+
+
 def _position() -> list[Column]:
     return [
         F.col("_metadata.file_path").alias("file"),
-        _name(F.col("_metadata.file_path")).alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     ]
@@ -199,21 +223,29 @@ def read_report(spark: SparkSession, path: str | list[str], name_filter: str | N
 
     Files are split like any text, so one huge report is read by many tasks. A first pass looks for
     files with a cell that ends in a later line. Only their lines are shuffled, once, to be joined
-    to records.
+    to records. `file` is what tells the paths apart: the part that they share would be a large part
+    of what is shuffled and sorted.
     """
     reader = spark.read
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
     lines = reader.text(path).select("value", *_position())
-    files = lines.groupBy("file").agg(F.max(_opens(F.col("value"))).alias("broken"))
-    some, every = files.agg(F.max("broken"), F.min("broken")).first()
+    broken = F.max(_opens(F.col("value"))).alias("broken")
+    files = lines.groupBy("file").agg(broken, F.max("block").alias("last"))
+    found = files.agg(
+        F.max("broken"), F.min("broken"), F.max(F.col("broken") & (F.col("last") > 0)), F.min("file"), F.max("file")
+    )
+    some, every, split, *paths = found.first()
+    root = commonprefix(paths) if some is not None else ""
+    lines, files = (df.withColumn("file", F.substr("file", F.lit(len(root) + 1))) for df in (lines, files))
+    if some and every:
+        return parse_grid(whole_records(lines, root, split), "value")
+    plain = lines.select("value", "file", _source(root), "block", "seq")
     if not some:
-        return parse_grid(lines, "value")
-    if every:
-        return parse_grid(whole_records(lines), "value")
+        return parse_grid(plain, "value")
     broken = files.where("broken").select("file")
-    plain = lines.join(broken, "file", "left_anti")
-    joined = whole_records(lines.join(broken, "file", "left_semi"))
+    plain = plain.join(broken, "file", "left_anti")
+    joined = whole_records(lines.join(broken, "file", "left_semi"), root, split)
     return parse_grid(plain.unionByName(joined), "value")
 
 

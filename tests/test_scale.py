@@ -232,3 +232,47 @@ def test_shuffle_files_go_when_a_query_ends(spark):
             break
         time.sleep(0.1)
     assert not files() - before and kept is not None
+
+
+def test_broken_lines_of_whole_files_are_shuffled_once(spark, tmp_path):
+    for n in range(3):
+        (tmp_path / f"r{n}.csv").write_text(EXAMPLE.replace("memo, ", "memo\n"), encoding="utf-8")
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    splits = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    counts = {}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        for name, most in (("whole", splits), ("split", "200b")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+            lines = inv.report_lines(read_report(spark, str(tmp_path)))
+            # texts of lines are shuffled once; a second shuffle has their places alone
+            plan = lines._jdf.queryExecution().executedPlan().toString()
+            counts[name] = len([p for p in plan.split("\n") if "- Exchange" in p and "REPARTITION_BY_COL" in p])
+            assert "ReusedExchange [value" in plan
+            found = [(r["source_file"], r["invoice_num"], r["memo"]) for r in lines.collect()]
+            assert len({f for f, _, _ in found}) == 3 and len([m for _, _, m in found if m == 'memo\n"x"']) == 3
+            counts[f"{name} rows"] = sorted(map(str, found))
+    finally:
+        for k, v in {**before, "spark.sql.files.maxPartitionBytes": splits}.items():
+            spark.conf.set(k, v)
+    assert counts["whole"] == 1 and counts["split"] == 2
+    assert counts["whole rows"] == counts["split rows"]
+
+
+def test_sales_are_shuffled_once_to_land(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    folder = sold_tables(spark, tmp_path)
+    plans, text = [], DataFrameWriter.text
+
+    def spied(self, *args, **options):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return text(self, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "text", spied)
+    catalogue._landed_reports(spark, folder, most=20)
+    (plan,) = plans
+    # sales and products; the few suppliers are sent to all tasks
+    assert len([p for p in plan.split("\n") if "Exchange hashpartitioning" in p]) <= 2
